@@ -9,6 +9,8 @@ soft-delete flags, reopened rows and reassigned identifiers.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rootweave.config import EdgeSource, MappingConfig, SeedRule
@@ -35,9 +37,9 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def history_sql(source: str, state: str = NOW, text: str = "STRING") -> str:
-    """One of the two history tables, in SQL that Spark and DuckDB both read."""
-    part = f"CAST(l_partkey AS {text}) || '-' || CAST(CAST(l_quantity AS INT) AS {text})"
+def history_sql(source: str, state: str = NOW) -> str:
+    """One of the two history tables, in SQL that both engines read (see :func:`on_spark`)."""
+    part = "CAST(l_partkey AS STRING) || '-' || CAST(CAST(l_quantity AS INT) AS STRING)"
     if state == NOW:
         key = f"{part} || '-' || l_returnflag"
         root = "o_orderpriority = '1-URGENT'"
@@ -48,10 +50,9 @@ def history_sql(source: str, state: str = NOW, text: str = "STRING") -> str:
         root = f"o_orderpriority = CASE WHEN {CORRECTED} THEN '2-HIGH' ELSE '1-URGENT' END"
         closed = f"(o_orderstatus = 'P' OR {CORRECTED} AND o_orderpriority = '5-LOW')"
         deleted = f"l_discount >= CASE WHEN {CORRECTED} THEN 0.045 ELSE 0.075 END"
-    flag, status = (f"{root}", "O") if source == "register" else (deleted, "F")
-    flag_col = "active_f" if source == "register" else "del_f"
+    flag, flag_col, status = (root, "active_f", "O") if source == "register" else (deleted, "del_f", "F")
     return f"""
-        SELECT CAST(l_orderkey AS {text}) AS rel_id,
+        SELECT CAST(l_orderkey AS STRING) AS rel_id,
                l_shipdate AS valid_from,
                CASE WHEN {closed} THEN l_shipdate ELSE TIMESTAMP '9999-12-31 00:00:00' END AS valid_to,
                {key} AS id_key,
@@ -60,19 +61,20 @@ def history_sql(source: str, state: str = NOW, text: str = "STRING") -> str:
         WHERE l_linestatus = '{status}'"""
 
 
+def on_spark(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """Run SQL with the given frames as its tables; its timestamps have no time zone."""
+    for name in tables:
+        sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+    return spark.sql(sql.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"), **tables)
+
+
 def history_tables(spark: SparkSession, sf_dir: str, state: str = NOW) -> dict[str, DataFrame]:
     """Both history tables as frames, by source name."""
-    views = {t: load(spark, sf_dir, t) for t in ("lineitem", "orders")}
-    return {
-        source.name: spark.sql(
-            history_sql(source.name, state).replace("lineitem", "{lineitem}").replace("JOIN orders", "JOIN {orders}"),
-            **views,
-        )
-        for source in (REGISTER, LINK)
-    }
+    inputs = {t: load(spark, sf_dir, t) for t in ("lineitem", "orders")}
+    return {s.name: on_spark(spark, history_sql(s.name, state), **inputs) for s in (REGISTER, LINK)}
 
 
 def create_tables(spark: SparkSession, sf_dir: str, database: str, state: str = NOW) -> None:
     """Materialise both history tables in a database."""
     for name, df in history_tables(spark, sf_dir, state).items():
-        df.write.format("parquet").saveAsTable(f"{database}.{name}")
+        df.write.format("parquet").mode("overwrite").saveAsTable(f"{database}.{name}")
