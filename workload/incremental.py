@@ -1,2 +1,198 @@
-QUERIES = {}
-ORACLES = {}
+"""Incremental maintenance: each step of a refresh, and the whole of it."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rootweave.config import MappingConfig
+from rootweave.operators import checks, delta
+from rootweave.operators.edges import active_seeds, edge_rows
+from rootweave.plans import refresh
+from rootweave.plans.scenario import current_output
+from rootweave.sources.tables import swap_replace
+from rootweave.workspace import Workspace
+from workload import oracles as sql
+from workload.mapping import solve
+from workload.relational import BEFORE_MEMBER, both_graphs, graph, one_step_membership
+from workload.views import BEFORE, NOW, config, create_tables, history_tables
+
+
+def states(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Staged presence frames of edges and seeds, BEFORE against NOW."""
+    cfg = config("current")
+    before, now = (history_tables(spark, sf_dir, s) for s in (BEFORE, NOW))
+    edge_state = ws.stage(delta.presence(edge_rows(before, cfg), edge_rows(now, cfg)), "edge-state")
+    seed_state = ws.stage(delta.presence(active_seeds(before, cfg), active_seeds(now, cfg)), "seed-state")
+    return edge_state, seed_state
+
+
+def region_of(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(region, edge state, seed state)."""
+    edge_state, seed_state = states(spark, sf_dir, ws)
+    previous, _ = solve(spark, sf_dir, "current", BEFORE)
+    start = refresh.impact_start_staged(edge_state, seed_state, ws)
+    return refresh.impacted_entities(start, previous.labels, ws), edge_state, seed_state
+
+
+def edge_delta(spark, sf_dir):
+    return delta.edge_delta(graph(spark, sf_dir, state=BEFORE)[0], graph(spark, sf_dir)[0])
+
+
+def seed_delta(spark, sf_dir):
+    return delta.seed_delta(graph(spark, sf_dir, state=BEFORE)[1], graph(spark, sf_dir)[1])
+
+
+def impact_start(spark, sf_dir):
+    ws = Workspace(spark)
+    return refresh.impact_start_staged(*states(spark, sf_dir, ws), ws)
+
+
+def impacted_entities(spark, sf_dir):
+    return region_of(spark, sf_dir, Workspace(spark))[0]
+
+
+def impacted_seeds(spark, sf_dir):
+    region, _, seed_state = region_of(spark, sf_dir, Workspace(spark))
+    return refresh.impacted_seeds(seed_state.filter("now").select("seed_rel_id"), region)
+
+
+def scoped_recompute(spark, sf_dir):
+    ws = Workspace(spark)
+    region, edge_state, seed_state = region_of(spark, sf_dir, ws)
+    edges = edge_state.filter("now").select("rel_id", "id_key")
+    return refresh.scoped_recompute(edges, seed_state.filter("now").select("seed_rel_id"), region, ws)[0]
+
+
+def merge_output(spark, sf_dir):
+    """One-step memberships: entities of changed edges get their new one, others keep the old."""
+    ws = Workspace(spark)
+    before, now = graph(spark, sf_dir, state=BEFORE), graph(spark, sf_dir)
+    region = ws.stage(delta.edge_delta(before[0], now[0]).select("rel_id").distinct(), "region")
+    recomputed = one_step_membership(*now).join(region, "rel_id", "left_semi")
+    return refresh.merge_output(one_step_membership(*before), region, recomputed)
+
+
+def enforce_active(spark, sf_dir):
+    """Earlier memberships whose root is still active."""
+    ws = Workspace(spark)
+    member = ws.stage(one_step_membership(*graph(spark, sf_dir, state=BEFORE)), "member")
+    return refresh.enforce_active(member, graph(spark, sf_dir)[1])
+
+
+def delta_check(spark, sf_dir):
+    """All insertions are expected and no removal, so the removals come back as problems."""
+    before = one_step_membership(*graph(spark, sf_dir, state=BEFORE))
+    now = one_step_membership(*graph(spark, sf_dir))
+    expected = delta.pair_delta(before, now).filter("kind = 'inserted'")
+    return checks.delta_check(before, now, expected)
+
+
+def replace_sources(spark: SparkSession, sf_dir: str, cfg: MappingConfig, state: str) -> None:
+    for name, df in history_tables(spark, sf_dir, state).items():
+        swap_replace(spark, f"{cfg.source_db}.{name}", df)
+
+
+@cache
+def refreshed(spark: SparkSession, application_id: str, sf_dir: str) -> dict:
+    """First refresh on BEFORE, second on NOW, third with no change; shared by the queries below."""
+    ws = Workspace(spark)
+    db = ws.scratch_database()
+    cfg = config("current", db, state_db=ws.scratch_database())
+    create_tables(spark, sf_dir, db, BEFORE)
+    first = refresh.refresh_mapping(spark, cfg)
+    replace_sources(spark, sf_dir, cfg, NOW)
+    second = refresh.refresh_mapping(spark, cfg)
+    output = ws.stage(current_output(spark, cfg), "output")
+    third = refresh.refresh_mapping(spark, cfg)
+    return {"cfg": cfg, "first": first, "second": second, "third": third, "output": output}
+
+
+def runs(spark: SparkSession, sf_dir: str) -> dict:
+    return refreshed(spark, spark.sparkContext.applicationId, sf_dir)
+
+
+def incremental_mapping(spark, sf_dir):
+    return runs(spark, sf_dir)["output"]
+
+
+def run_stats(spark, sf_dir):
+    return runs(spark, sf_dir)["second"].as_frame(spark)
+
+
+def noop_run(spark, sf_dir):
+    return runs(spark, sf_dir)["third"].as_frame(spark)
+
+
+def incremental_state(spark, sf_dir):
+    """What the state tables hold after the refresh, as one list of facts."""
+    cfg = runs(spark, sf_dir)["cfg"]
+    edges = spark.table(cfg.state(refresh.EDGES)).select(F.col("source_table").alias("fact"), "rel_id", F.col("id_key").alias("value"))
+    seeds = spark.table(cfg.state(refresh.SEEDS)).select(F.lit("seed").alias("fact"), F.col("seed_rel_id").alias("rel_id"), F.lit("").alias("value"))
+    members = spark.table(cfg.state(refresh.MEMBERS)).select(F.lit("member").alias("fact"), "rel_id", F.col("root_id").alias("value"))
+    return edges.unionByName(seeds).unionByName(members)
+
+
+def idempotent_rerun(spark, sf_dir):
+    """Rows that the rerun without any change inserted and removed, and those it kept."""
+    done = runs(spark, sf_dir)
+    state = delta.presence(done["output"], current_output(spark, done["cfg"]))
+    return state.agg(
+        F.count_if(F.expr("now AND NOT was")).alias("inserted"),
+        F.count_if(F.expr("was AND NOT now")).alias("removed"),
+        F.count_if(F.expr("was AND now")).alias("kept"),
+    )
+
+
+QUERIES = {
+    "edge_delta": edge_delta, "seed_delta": seed_delta, "impact_start": impact_start,
+    "impacted_entities": impacted_entities, "impacted_seeds": impacted_seeds,
+    "scoped_recompute": scoped_recompute, "merge_output": merge_output, "enforce_active": enforce_active,
+    "delta_check": delta_check, "incremental_mapping": incremental_mapping, "run_stats": run_stats,
+    "noop_run": noop_run, "incremental_state": incremental_state, "idempotent_rerun": idempotent_rerun,
+}
+
+BOTH_MEMBERS = sql.ONE_STEP + ",\n" + BEFORE_MEMBER.replace("member AS", "b_member AS", 1)
+
+ORACLES = {
+    "edge_delta": both_graphs("""
+        SELECT 'inserted' AS kind, * FROM (SELECT * FROM edges EXCEPT SELECT * FROM b_edges)
+        UNION ALL SELECT 'removed', * FROM (SELECT * FROM b_edges EXCEPT SELECT * FROM edges)"""),
+    "seed_delta": both_graphs("""
+        SELECT 'inserted' AS kind, * FROM (SELECT * FROM seeds EXCEPT SELECT * FROM b_seeds)
+        UNION ALL SELECT 'removed', * FROM (SELECT * FROM b_seeds EXCEPT SELECT * FROM seeds)"""),
+    "impact_start": both_graphs("SELECT rel_id FROM start_set", sql.START),
+    "impacted_entities": sql.two_states("SELECT rel_id FROM region", sql.REGION),
+    "impacted_seeds": sql.two_states(
+        "SELECT seed_rel_id FROM seeds WHERE seed_rel_id IN (SELECT rel_id FROM region)", sql.REGION),
+    "scoped_recompute": sql.two_states(
+        "SELECT rel_id, root_id FROM mapping WHERE rel_id IN (SELECT rel_id FROM region)", sql.REGION),
+    "merge_output": both_graphs("""
+        SELECT rel_id, root_id FROM b_member WHERE rel_id NOT IN (SELECT rel_id FROM moved)
+        UNION ALL SELECT rel_id, root_id FROM member WHERE rel_id IN (SELECT rel_id FROM moved)""",
+        BOTH_MEMBERS + ",\n" + sql.MOVED),
+    "enforce_active": both_graphs(
+        "SELECT rel_id, root_id FROM member WHERE root_id IN (SELECT seed_rel_id FROM seeds)", BEFORE_MEMBER),
+    "delta_check": both_graphs("""
+        SELECT 'unexpected' AS problem, 'removed' AS kind, rel_id, root_id
+        FROM (SELECT * FROM b_member EXCEPT SELECT * FROM member)""", BOTH_MEMBERS),
+    "incremental_mapping": sql.with_history(
+        NOW, extra=sql.graph("", "current"), body="SELECT rel_id, root_id FROM mapping"),
+    "run_stats": sql.two_states("""
+        SELECT (SELECT count(*) FROM moved) AS changed_edges,
+               (SELECT count(*) FROM (SELECT * FROM seeds EXCEPT SELECT * FROM b_seeds)) AS added_seeds,
+               (SELECT count(*) FROM (SELECT * FROM b_seeds EXCEPT SELECT * FROM seeds)) AS removed_seeds,
+               (SELECT count(*) FROM region) AS impacted_rel_ids,
+               (SELECT count(*) FROM mapping) AS output_rows""", sql.REGION),
+    "noop_run": sql.with_history(NOW, extra=sql.graph("", "current"), body="""
+        SELECT 0 AS changed_edges, 0 AS added_seeds, 0 AS removed_seeds, 0 AS impacted_rel_ids,
+               count(*) AS output_rows FROM mapping"""),
+    "incremental_state": sql.with_history(NOW, extra=sql.graph("", "current"), body="""
+        SELECT source_table AS fact, rel_id, id_key AS value FROM edges
+        UNION ALL SELECT 'seed', seed_rel_id, '' FROM seeds
+        UNION ALL SELECT 'member', rel_id, root_id FROM mapping"""),
+    "idempotent_rerun": sql.with_history(NOW, extra=sql.graph("", "current"), body="""
+        SELECT 0 AS inserted, 0 AS removed, count(*) AS kept FROM mapping"""),
+}

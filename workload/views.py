@@ -26,11 +26,11 @@ CORRECTED = "l_shipdate >= TIMESTAMP '2001-09-15 00:00:00'"
 
 
 def config(edge_scope: str, database: str = "default", **overrides) -> MappingConfig:
-    return MappingConfig(
-        sources=(REGISTER, LINK), seed_rule=SeedRule("register", "active_f"),
-        source_db=database, target_db=database, state_db=f"{database}_state",
-        edge_scope=edge_scope, **overrides,
-    )
+    settings = {
+        "sources": (REGISTER, LINK), "seed_rule": SeedRule("register", "active_f"),
+        "source_db": database, "target_db": database, "edge_scope": edge_scope,
+    }
+    return MappingConfig(**{**settings, **overrides})
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,7 +64,7 @@ def history_sql(source: str, state: str = NOW) -> str:
 def on_spark(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """Run SQL with the given frames as its tables; its timestamps have no time zone."""
     for name in tables:
-        sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+        sql = re.sub(rf"\b(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", sql)
     return spark.sql(sql.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"), **tables)
 
 
