@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootweave.workspace import Workspace
+
 
 # A key is hot when it holds more than one part in HOT_SHARE of all rows, so there
 # can never be more than HOT_SHARE hot keys: a list of them is safe to broadcast.
@@ -47,17 +51,29 @@ def skew_join(big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None,
     return dealt.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how).drop("_salt")
 
 
-def semi_join(big: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
-    """Rows of ``big`` whose key is in ``keys``, a staged one-column list without duplicates.
+class Keys(NamedTuple):
+    """A staged one-column list without duplicates, and its length."""
+
+    frame: DataFrame
+    rows: int
+
+
+def stage_keys(df: DataFrame, ws: Workspace, label: str) -> Keys:
+    frame, counted = ws.stage_counted(df.distinct(), label)
+    return Keys(frame, counted["rows"])
+
+
+def semi_join(big: DataFrame, keys: Keys, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``big`` whose key is in ``keys``.
 
     A counted short list is broadcast, so ``big`` is not moved at all; a long one is
     joined by shuffle with the hot keys spread.
     """
-    if keys.count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(keys), key, how)
-    return skew_join(big, keys, key, hot_keys(big, key, big.count()), how)
+    if keys.rows <= BROADCAST_ROWS:
+        return big.join(F.broadcast(keys.frame), key, how)
+    return skew_join(big, keys.frame, key, hot_keys(big, key, big.count()), how)
 
 
-def anti_join(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def anti_join(big: DataFrame, keys: Keys, key: str) -> DataFrame:
     """Rows of ``big`` whose key is not in ``keys``; see :func:`semi_join`."""
     return semi_join(big, keys, key, "left_anti")

@@ -19,8 +19,10 @@ from rootweave.config import MappingConfig
 from rootweave.operators.delta import presence
 from rootweave.operators.edges import active_seeds, edge_rows, load_sources
 from rootweave.operators.mapping import assign_roots, components_with_seeds
-from rootweave.operators.skew import BROADCAST_ROWS, anti_join, hot_keys, semi_join, skew_join
+from rootweave.operators.skew import BROADCAST_ROWS, Keys, anti_join, hot_keys, semi_join, skew_join, stage_keys
 from rootweave.sources.tables import (
+    STAGING,
+    drop_table,
     ensure_database,
     ensure_table,
     finish_swap,
@@ -31,15 +33,19 @@ from rootweave.sources.tables import (
 )
 from rootweave.workspace import Workspace
 
-EDGES = "edge_snapshot"
-SEEDS = "seed_snapshot"
-MEMBERS = "seed_membership"
+EDGES = "edge_state"
+SEEDS = "seed_state"
 COMPONENTS = "component_snapshot"
+# Edges and seeds carry flags for the previous and the last run, so that the frame which
+# finds the changes becomes the next state without being written twice.
 STATE_SCHEMAS = {
-    EDGES: "source_table STRING, rel_id STRING, id_key STRING",
-    SEEDS: "seed_rel_id STRING",
+    EDGES: "source_table STRING, rel_id STRING, id_key STRING, was BOOLEAN, now BOOLEAN",
+    SEEDS: "seed_rel_id STRING, was BOOLEAN, now BOOLEAN",
     COMPONENTS: "rel_id STRING, component_id BIGINT",
 }
+EDGE_SNAPSHOT = "edge_snapshot"
+SEED_SNAPSHOT = "seed_snapshot"
+MEMBERS = "seed_membership"
 RUN_ID = "rootweave.run_id"
 
 
@@ -72,12 +78,15 @@ def ensure_tables(spark: SparkSession, cfg: MappingConfig) -> None:
     for table, schema in STATE_SCHEMAS.items():
         ensure_table(spark, cfg.state(table), schema)
     ensure_table(spark, cfg.output, f"{cfg.entity_out} STRING, {cfg.root_out} STRING")
-    # The membership of the last run is the output itself; a view saves a second copy.
-    spark.sql(f"""
-        CREATE VIEW IF NOT EXISTS {cfg.state(MEMBERS)} AS
-        SELECT CAST({cfg.entity_out} AS STRING) AS rel_id, CAST({cfg.root_out} AS STRING) AS root_id
-        FROM {cfg.output}
-    """)
+    # What the last run saw and found, without a second copy of it.
+    views = {
+        EDGE_SNAPSHOT: f"SELECT source_table, rel_id, id_key FROM {cfg.state(EDGES)} WHERE now",
+        SEED_SNAPSHOT: f"SELECT seed_rel_id FROM {cfg.state(SEEDS)} WHERE now",
+        MEMBERS: f"SELECT CAST({cfg.entity_out} AS STRING) AS rel_id, CAST({cfg.root_out} AS STRING) AS root_id "
+                 f"FROM {cfg.output}",
+    }
+    for view, query in views.items():
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {cfg.state(view)} AS {query}")
 
 
 def committed_run(spark: SparkSession, cfg: MappingConfig) -> str | None:
@@ -90,19 +99,20 @@ def committed_run(spark: SparkSession, cfg: MappingConfig) -> str | None:
     return run if run and run.startswith(f"{cfg.edge_scope}-") else None
 
 
-def commit(spark: SparkSession, cfg: MappingConfig, frames: dict[str, DataFrame]) -> None:
-    """Replace the given tables and stamp all of them with one new run.
+def commit(spark: SparkSession, cfg: MappingConfig, staged: list[str]) -> None:
+    """Let the staged tables take over and stamp all tables with one new run.
 
-    All replacements are written before the first name changes. A crash among the
+    All replacements are complete before the first name changes. A crash among the
     renames leaves tables with different stamps, and the next run starts afresh.
     """
     stamp = {RUN_ID: f"{cfg.edge_scope}-{uuid.uuid4().hex}"}
-    for table, df in frames.items():
-        stage_replacement(spark, table, df, stamp)
-    for table in frames:
+    for table in staged:
+        set_properties(spark, table + STAGING, stamp)
+    for table in staged:
         finish_swap(spark, table)
     for table in [cfg.output, *state_tables(cfg)]:
-        if table not in frames:
+        if table not in staged:
+            drop_table(spark, table + STAGING)
             set_properties(spark, table, stamp)
 
 
@@ -125,30 +135,26 @@ def impact_start(edge_state: DataFrame, seed_state: DataFrame) -> DataFrame:
     )
 
 
-def impact_start_staged(edge_state: DataFrame, seed_state: DataFrame, ws: Workspace) -> DataFrame:
-    """:func:`impact_start` for a staged ``edge_state``, moving little when little changed.
+def impact_start_staged(edge_state: DataFrame, seed_state: DataFrame, ws: Workspace) -> Keys:
+    """:func:`impact_start` for a written ``edge_state``, moving little when little changed.
 
     A counted short list of changed identifiers is broadcast to the edges before they
     are grouped; a long one is joined after the grouping, when each identifier is one row.
     """
-    moved_keys, counted = ws.stage_counted(
-        edge_state.filter(F.col("was") != F.col("now")).select("id_key").distinct(), "moved-keys"
-    )
-    if counted["rows"] <= BROADCAST_ROWS:
-        edge_state = edge_state.join(F.broadcast(moved_keys), "id_key", "left_semi")
-    return ws.stage(impact_start(edge_state, seed_state), "start")
+    moved = stage_keys(edge_state.filter(F.col("was") != F.col("now")).select("id_key"), ws, "moved-keys")
+    if moved.rows <= BROADCAST_ROWS:
+        edge_state = semi_join(edge_state, moved, "id_key")
+    return stage_keys(impact_start(edge_state, seed_state), ws, "start")
 
 
-def impacted_entities(start: DataFrame, components: DataFrame, ws: Workspace) -> DataFrame:
-    """``start(rel_id)`` and all members of the previous components it touches. Both staged."""
-    touched = ws.stage(
-        semi_join(components, start, "rel_id").select("component_id").distinct(), "touched"
-    )
+def impacted_entities(start: Keys, components: DataFrame, ws: Workspace) -> Keys:
+    """``start(rel_id)`` and all members of the previous ``components`` it touches."""
+    touched = stage_keys(semi_join(components, start, "rel_id").select("component_id"), ws, "touched")
     members = semi_join(components, touched, "component_id").select("rel_id")
-    return ws.stage(members.unionByName(start).distinct(), "region")
+    return stage_keys(members.unionByName(start.frame), ws, "region")
 
 
-def impacted_seeds(seeds: DataFrame, region: DataFrame) -> DataFrame:
+def impacted_seeds(seeds: DataFrame, region: Keys) -> DataFrame:
     """Every active seed inside the region, whether or not it won before."""
     return semi_join(seeds.withColumnRenamed("seed_rel_id", "rel_id"), region, "rel_id").select(
         F.col("rel_id").alias("seed_rel_id")
@@ -156,16 +162,15 @@ def impacted_seeds(seeds: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def scoped_recompute(
-    edges: DataFrame, seeds: DataFrame, region: DataFrame, ws: Workspace, max_rounds: int = 100
+    edges: DataFrame, seeds: DataFrame, region: Keys, ws: Workspace, max_rounds: int = 100
 ) -> tuple[DataFrame, DataFrame]:
     """Mapping and component labels of a region, computed from its own edges and seeds."""
-    region_edges = semi_join(edges, region, "rel_id")
     region_seeds = ws.stage(impacted_seeds(seeds, region), "seeds")
-    found = components_with_seeds(region_edges, region_seeds, ws, max_rounds)
+    found = components_with_seeds(semi_join(edges, region, "rel_id"), region_seeds, ws, max_rounds)
     return assign_roots(found, region_seeds), found.labels
 
 
-def merge_output(previous: DataFrame, region: DataFrame, recomputed: DataFrame) -> DataFrame:
+def merge_output(previous: DataFrame, region: Keys, recomputed: DataFrame) -> DataFrame:
     """Rows outside the region as they were, rows inside it as recomputed."""
     return anti_join(previous, region, "rel_id").unionByName(recomputed)
 
@@ -191,61 +196,54 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
     ensure_tables(spark, cfg)
     first = committed_run(spark, cfg) is None
     tables = load_sources(spark, cfg)
-    old_edges, old_seeds = spark.table(cfg.state(EDGES)), spark.table(cfg.state(SEEDS))
+    old_edges, old_seeds = spark.table(cfg.state(EDGE_SNAPSHOT)), spark.table(cfg.state(SEED_SNAPSHOT))
     if first:
         old_edges, old_seeds = old_edges.limit(0), old_seeds.limit(0)
-
-    edge_state, edge_counts = ws.stage_counted(
-        presence(old_edges, edge_rows(tables, cfg)), "edge-state",
-        changed=F.count_if(F.col("was") != F.col("now")),
-    )
-    seed_state, seed_counts = ws.stage_counted(
-        presence(old_seeds, active_seeds(tables, cfg)), "seed-state",
-        added=F.count_if(F.expr("now AND NOT was")), removed=F.count_if(F.expr("was AND NOT now")),
-    )
-    edges = edge_state.filter("now").select("source_table", "rel_id", "id_key")
-    seeds = seed_state.filter("now").select("seed_rel_id")
     output = spark.table(cfg.output).select(
         F.col(cfg.entity_out).cast("string").alias("rel_id"), F.col(cfg.root_out).cast("string").alias("root_id")
     )
 
-    if not first and not edge_counts["changed"] and not seed_counts["added"] and not seed_counts["removed"]:
+    moves = {"added": F.count_if(F.expr("now AND NOT was")), "removed": F.count_if(F.expr("was AND NOT now"))}
+    edge_state, edge_moves = stage_replacement(
+        spark, cfg.state(EDGES), presence(old_edges, edge_rows(tables, cfg)), **moves
+    )
+    seed_state, seed_moves = stage_replacement(
+        spark, cfg.state(SEEDS), presence(old_seeds, active_seeds(tables, cfg)), **moves
+    )
+    changed_edges = edge_moves["added"] + edge_moves["removed"]
+    changed_seeds = seed_moves["added"] + seed_moves["removed"]
+    if not first and not changed_edges and not changed_seeds:
+        for table in (EDGES, SEEDS):
+            drop_table(spark, cfg.state(table) + STAGING)
         return RunStats(0, 0, 0, 0, output.count())
 
+    edges = edge_state.filter("now").select("source_table", "rel_id", "id_key")
+    seeds = seed_state.filter("now").select("seed_rel_id")
     if first:
         found = components_with_seeds(edges, seeds, ws, cfg.max_rounds)
-        labels, mapping = found.labels, assign_roots(found, seeds)
-        region = labels.select("rel_id")
+        labels, mapping, impacted = found.labels, assign_roots(found, seeds), found.entities
         if cfg.carry_forward:
-            kept = enforce_active(anti_join(output, region, "rel_id"), seeds, ws)
-            mapping = mapping.unionByName(kept.distinct())
+            region = Keys(labels.select("rel_id"), impacted)
+            kept = ws.stage(anti_join(output, region, "rel_id").distinct(), "kept")
+            mapping = mapping.unionByName(enforce_active(kept, seeds))
     else:
         previous = spark.table(cfg.state(COMPONENTS))
-        start = impact_start_staged(edge_state, seed_state, ws)
-        region = impacted_entities(start, previous, ws)
+        region = impacted_entities(impact_start_staged(edge_state, seed_state, ws), previous, ws)
         recomputed, new_labels = scoped_recompute(edges, seeds, region, ws, cfg.max_rounds)
-        mapping = merge_output(output, region, recomputed)
+        mapping, impacted = merge_output(output, region, recomputed), region.rows
         labels = anti_join(previous, region, "rel_id").unionByName(new_labels)
-        if cfg.carry_forward and seed_counts["removed"]:
-            gone = ws.stage(
-                seed_state.filter("was AND NOT now").select(F.col("seed_rel_id").alias("root_id")), "gone"
-            )
-            mapping = anti_join(mapping, gone, "root_id").select("rel_id", "root_id")
-
-    mapping = ws.stage(mapping.select("rel_id", "root_id"), "mapping")
-    frames = {
-        cfg.output: mapping.select(F.col("rel_id").alias(cfg.entity_out), F.col("root_id").alias(cfg.root_out)),
-        cfg.state(COMPONENTS): labels.select("rel_id", "component_id"),
-    }
-    if first or edge_counts["changed"]:
-        frames[cfg.state(EDGES)] = edges
-    if first or seed_counts["added"] or seed_counts["removed"]:
-        frames[cfg.state(SEEDS)] = seeds
-    commit(spark, cfg, frames)
+        if cfg.carry_forward and seed_moves["removed"]:
+            gone = seed_state.filter("was AND NOT now").select(F.col("seed_rel_id").alias("root_id"))
+            mapping = anti_join(mapping, stage_keys(gone, ws, "gone"), "root_id").select("rel_id", "root_id")
+
+    named = mapping.select(F.col("rel_id").alias(cfg.entity_out), F.col("root_id").alias(cfg.root_out))
+    _, written = stage_replacement(spark, cfg.output, named)
+    stage_replacement(spark, cfg.state(COMPONENTS), labels.select("rel_id", "component_id"))
+    replaced = [cfg.output, cfg.state(COMPONENTS)]
+    replaced += [cfg.state(EDGES)] if first or changed_edges else []
+    replaced += [cfg.state(SEEDS)] if first or changed_seeds else []
+    commit(spark, cfg, replaced)
     return RunStats(
-        changed_edges=edge_counts["changed"],
-        added_seeds=seed_counts["added"],
-        removed_seeds=seed_counts["removed"],
-        impacted_rel_ids=region.count(),
-        output_rows=mapping.count(),
+        changed_edges=changed_edges, added_seeds=seed_moves["added"], removed_seeds=seed_moves["removed"],
+        impacted_rel_ids=impacted, output_rows=written["rows"],
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rootweave.workspace import count_while_writing
+
 STAGING = "__staging"
 OLD = "__old"
 BASELINE = "__baseline"
@@ -58,25 +60,23 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}").select(F.col("tableName").alias("table_name"))
 
 
-def swap_replace(spark: SparkSession, table: str, df: DataFrame, properties: dict[str, str] | None = None) -> None:
+def swap_replace(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace all rows of a table, possibly by rows computed from it.
 
     The new rows are written beside the table first. The old table is renamed away
     before the new one takes its name, so at any moment one complete version is left;
     :func:`recover_swap` puts things right after a crash in between.
     """
-    stage_replacement(spark, table, df, properties)
+    stage_replacement(spark, table, df)
     finish_swap(spark, table)
 
 
-def stage_replacement(
-    spark: SparkSession, table: str, df: DataFrame, properties: dict[str, str] | None = None
-) -> None:
-    """First half of a swap: write the new rows to the staging table."""
+def stage_replacement(spark: SparkSession, table: str, df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """First half of a swap: write the new rows to the staging table, counting them."""
     drop_table(spark, table + STAGING)
-    df.write.format("parquet").saveAsTable(table + STAGING)
-    if properties:
-        set_properties(spark, table + STAGING, properties)
+    counted, seen = count_while_writing(df, **metrics)
+    counted.write.format("parquet").saveAsTable(table + STAGING)
+    return spark.table(table + STAGING), seen.get
 
 
 def finish_swap(spark: SparkSession, table: str) -> None:

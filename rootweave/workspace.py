@@ -50,9 +50,8 @@ class Workspace:
         """Like :meth:`stage`, and count the rows (and other aggregates) while writing."""
         path = f"{self.path}/{self._steps:04d}-{label}"
         self._steps += 1
-        seen = Observation()
-        named = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
-        df.observe(seen, *named).write.parquet(path)
+        counted, seen = count_while_writing(df, **metrics)
+        counted.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), seen.get
 
     def scratch_database(self) -> str:
@@ -80,3 +79,10 @@ class Workspace:
         path, fs = self._hadoop_path()
         fs.mkdirs(path)
         fs.deleteOnExit(path)
+
+
+def count_while_writing(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its ``rows`` and of other aggregates, filled by the next write."""
+    seen = Observation()
+    named = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
+    return df.observe(seen, *named), seen

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rootweave.plans.refresh import EDGES, STATE_SCHEMAS
-from rootweave.operators.edges import build_edges
+from rootweave.plans.refresh import COMPONENTS, STATE_SCHEMAS
 from rootweave.sources import files, tables
 from rootweave.workspace import Workspace
 from workload import oracles as sql
-from workload.views import NOW, config, create_tables, history_tables, load
+from workload.views import NOW, create_tables, load
 
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
 CUSTOMER_SCHEMA = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"
@@ -58,13 +57,15 @@ def write_table(spark, sf_dir):
 
 
 def ensure_tables(spark, sf_dir):
-    """Creating the state tables twice keeps what was written in between."""
-    db = Workspace(spark).scratch_database()
-    state = f"{db}.{EDGES}"
-    tables.ensure_table(spark, state, STATE_SCHEMAS[EDGES])
-    tables.append_rows(build_edges(history_tables(spark, sf_dir), config("history")), state)
-    tables.ensure_table(spark, state, STATE_SCHEMAS[EDGES])
-    return spark.table(state)
+    """Creating a state table twice keeps what was written in between."""
+    table, schema = f"{Workspace(spark).scratch_database()}.{COMPONENTS}", STATE_SCHEMAS[COMPONENTS]
+    tables.ensure_table(spark, table, schema)
+    tables.append_rows(
+        load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rel_id"), F.col("o_custkey").alias("component_id")),
+        table,
+    )
+    tables.ensure_table(spark, table, schema)
+    return spark.table(table)
 
 
 def ctas(spark, sf_dir):
@@ -177,7 +178,7 @@ ORACLES = {
         UNION ALL SELECT 'nation', count(*) FROM nation""",
     "scan_table": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "write_table": "SELECT o_orderkey, o_orderpriority FROM orders",
-    "ensure_tables": sql.with_history(NOW, extra=sql.edges("edges", "history"), body="SELECT * FROM edges"),
+    "ensure_tables": "SELECT CAST(o_orderkey AS STRING) AS rel_id, o_custkey AS component_id FROM orders",
     "ctas": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus",
     "const_rows": "SELECT 7 AS value, 'created by pyspark' AS origin UNION ALL SELECT c_custkey, c_name FROM customer",
     "insert_values": sql.with_history(NOW, body="""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rootweave.config import MappingConfig
 from rootweave.operators import checks, delta
 from rootweave.operators.edges import active_seeds, edge_rows
+from rootweave.operators.skew import Keys, semi_join, stage_keys
 from rootweave.plans import refresh
 from rootweave.plans.scenario import current_output
 from rootweave.sources.tables import swap_replace
@@ -29,7 +30,7 @@ def states(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame,
     return edge_state, seed_state
 
 
-def region_of(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+def region_of(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[Keys, DataFrame, DataFrame]:
     """(region, edge state, seed state)."""
     edge_state, seed_state = states(spark, sf_dir, ws)
     previous, _ = solve(spark, sf_dir, "current", BEFORE)
@@ -47,11 +48,11 @@ def seed_delta(spark, sf_dir):
 
 def impact_start(spark, sf_dir):
     ws = Workspace(spark)
-    return refresh.impact_start_staged(*states(spark, sf_dir, ws), ws)
+    return refresh.impact_start_staged(*states(spark, sf_dir, ws), ws).frame
 
 
 def impacted_entities(spark, sf_dir):
-    return region_of(spark, sf_dir, Workspace(spark))[0]
+    return region_of(spark, sf_dir, Workspace(spark))[0].frame
 
 
 def impacted_seeds(spark, sf_dir):
@@ -70,8 +71,8 @@ def merge_output(spark, sf_dir):
     """One-step memberships: entities of changed edges get their new one, others keep the old."""
     ws = Workspace(spark)
     before, now = graph(spark, sf_dir, state=BEFORE), graph(spark, sf_dir)
-    region = ws.stage(delta.edge_delta(before[0], now[0]).select("rel_id").distinct(), "region")
-    recomputed = one_step_membership(*now).join(region, "rel_id", "left_semi")
+    region = stage_keys(delta.edge_delta(before[0], now[0]).select("rel_id"), ws, "region")
+    recomputed = semi_join(one_step_membership(*now), region, "rel_id")
     return refresh.merge_output(one_step_membership(*before), region, recomputed)
 
 
@@ -129,8 +130,8 @@ def noop_run(spark, sf_dir):
 def incremental_state(spark, sf_dir):
     """What the state tables hold after the refresh, as one list of facts."""
     cfg = runs(spark, sf_dir)["cfg"]
-    edges = spark.table(cfg.state(refresh.EDGES)).select(F.col("source_table").alias("fact"), "rel_id", F.col("id_key").alias("value"))
-    seeds = spark.table(cfg.state(refresh.SEEDS)).select(F.lit("seed").alias("fact"), F.col("seed_rel_id").alias("rel_id"), F.lit("").alias("value"))
+    edges = spark.table(cfg.state(refresh.EDGE_SNAPSHOT)).select(F.col("source_table").alias("fact"), "rel_id", F.col("id_key").alias("value"))
+    seeds = spark.table(cfg.state(refresh.SEED_SNAPSHOT)).select(F.lit("seed").alias("fact"), F.col("seed_rel_id").alias("rel_id"), F.lit("").alias("value"))
     members = spark.table(cfg.state(refresh.MEMBERS)).select(F.lit("member").alias("fact"), "rel_id", F.col("root_id").alias("value"))
     return edges.unionByName(seeds).unionByName(members)
 
