@@ -54,6 +54,7 @@ def connected_components(
     if isolated is not None:
         pairs = pairs.unionByName(isolated.select("rel_id", F.lit(None).cast("string").alias("id_key")))
     pairs, counted = ws.stage_counted(pairs.distinct(), "pairs")
+    ws.expect(counted["rows"])
 
     # Entities are numbered by a hash, so that the rounds move 64-bit numbers only.
     # Should two entities share a number, the labels show it and numbering is repeated.

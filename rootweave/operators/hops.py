@@ -1,7 +1,7 @@
 """Single steps through the graph, for exploring it by hand.
 
-Closures do not use these: a step over an identifier shared by many entities makes
-as many rows as there are (seed, entity) pairs on it.
+Closures do not use these: a step that keeps seeds apart makes, by its meaning, one row
+for every seed and entity on an identifier.
 """
 
 from __future__ import annotations
@@ -9,22 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootweave.operators.skew import skew_join
+
 
 def start_frontier(seeds: DataFrame) -> DataFrame:
     """Every seed reaches itself."""
     return seeds.select("seed_rel_id", F.col("seed_rel_id").alias("rel_id"))
 
 
-def entity_to_key(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """Identifiers next to the frontier. Columns other than ``rel_id`` (a seed) are kept."""
+def entity_to_key(frontier: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Identifiers next to the frontier. Columns other than ``rel_id`` (a seed) are kept.
+
+    ``hot`` lists entities with very many edges, if that was counted.
+    """
     kept = [c for c in frontier.columns if c != "rel_id"]
-    return frontier.join(edges.select("rel_id", "id_key"), "rel_id").select(*kept, "id_key").distinct()
+    return skew_join(edges.select("rel_id", "id_key"), frontier, "rel_id", hot).select(*kept, "id_key").distinct()
 
 
-def key_to_entity(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """Entities next to a frontier of identifiers."""
+def key_to_entity(frontier: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Entities next to a frontier of identifiers; ``hot`` lists identifiers with very many edges."""
     kept = [c for c in frontier.columns if c != "id_key"]
-    return frontier.join(edges.select("rel_id", "id_key"), "id_key").select(*kept, "rel_id").distinct()
+    return skew_join(edges.select("rel_id", "id_key"), frontier, "id_key", hot).select(*kept, "rel_id").distinct()
+
+
+def one_step_membership(seeds: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(rel_id, root_id): the smallest seed at most one identifier away.
+
+    Each identifier is reduced to its smallest seed before it meets its entities, so
+    the rows in between never outnumber the edges.
+    """
+    best = entity_to_key(start_frontier(seeds), edges).groupBy("id_key").agg(F.min("seed_rel_id").alias("root_id"))
+    reached = skew_join(edges.select("rel_id", "id_key"), best, "id_key", hot)
+    return reached.groupBy("rel_id").agg(F.min("root_id").alias("root_id"))
 
 
 def only_new(candidates: DataFrame, visited: DataFrame) -> DataFrame:

@@ -196,6 +196,7 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
     ensure_tables(spark, cfg)
     first = committed_run(spark, cfg) is None
     tables = load_sources(spark, cfg)
+    ws.expect(sum(t.count() for t in tables.values()))
     old_edges, old_seeds = spark.table(cfg.state(EDGE_SNAPSHOT)), spark.table(cfg.state(SEED_SNAPSHOT))
     if first:
         old_edges, old_seeds = old_edges.limit(0), old_seeds.limit(0)

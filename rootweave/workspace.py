@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
+# Rows that one task should get after a shuffle; edges and labels take some 50 bytes each.
+ROWS_PER_TASK = 2_000_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -40,8 +43,20 @@ class Workspace:
         self.spark = spark
         self.path = f"{checkpoint_root(spark)}/rootweave-{uuid.uuid4().hex}"
         self._steps = 0
+        self._partitions: str | None = None
         self._delete_on_exit()
 
+    def expect(self, rows: int) -> None:
+        """Make shuffles wide enough for ``rows`` rows while the workspace is open.
+
+        The setting is only ever raised; adaptive execution merges what turns out small.
+        """
+        current = self.spark.conf.get(PARTITIONS_SETTING)
+        wanted = rows // ROWS_PER_TASK
+        if wanted > int(current):
+            self._partitions = self._partitions or current
+            self.spark.conf.set(PARTITIONS_SETTING, str(wanted))
+
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` and return a frame that reads what was written."""
         return self.stage_counted(df, label)[0]
@@ -62,6 +77,8 @@ class Workspace:
 
     def close(self) -> None:
         """Delete the workspace; frames read from it are invalid afterwards."""
+        if self._partitions:
+            self.spark.conf.set(PARTITIONS_SETTING, self._partitions)
         path, fs = self._hadoop_path()
         fs.delete(path, True)
 

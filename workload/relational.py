@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from rootweave.functions import better_root, key_as_long, key_as_string, not_blank, open_ended, table_name_of
 from rootweave.operators import checks, delta, edges, hops
+from rootweave.operators.skew import hot_keys
 from rootweave.sources.files import preview, temporal_to_string
+from rootweave.workspace import Workspace
 from workload import oracles as sql
 from workload.views import BEFORE, LINK, NOW, REGISTER, config, history_tables, load
 
@@ -19,9 +21,7 @@ def graph(spark: SparkSession, sf_dir: str, scope: str = "current", state: str =
 
 
 def one_step_membership(edge_df: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(rel_id, root_id): the smallest seed at most one identifier away."""
-    pairs = hops.key_to_entity(hops.entity_to_key(hops.start_frontier(seeds), edge_df), edge_df)
-    return pairs.groupBy("rel_id").agg(F.min("seed_rel_id").alias("root_id"))
+    return hops.one_step_membership(seeds, edge_df)
 
 
 def project_alias(spark, sf_dir):
@@ -107,7 +107,9 @@ def hop_entity_to_key(spark, sf_dir):
 
 def hop_key_to_entity(spark, sf_dir):
     e, s = graph(spark, sf_dir)
-    return hops.key_to_entity(hops.entity_to_key(hops.start_frontier(s), e), e)
+    e, counted = Workspace(spark).stage_counted(e, "edges")
+    by_entity, by_key = (hot_keys(e, column, counted["rows"]) for column in ("rel_id", "id_key"))
+    return hops.key_to_entity(hops.entity_to_key(hops.start_frontier(s), e, by_entity), e, by_key)
 
 
 def hop_unseeded(spark, sf_dir):
