@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rootweave import workspace
 from rootweave.sources import files, tables
 
 
@@ -86,3 +87,24 @@ def test_ingest_refuses_missing_input(spark, db, tmp_path):
         files.ingest_folder(spark, str(tmp_path / "nowhere"), db)
     with pytest.raises(FileNotFoundError, match="no \\*.csv"):
         files.ingest_folder(spark, str(tmp_path), db)
+
+
+def test_workspace_widens_shuffles_and_cleans_up(spark):
+    setting = workspace.PARTITIONS_SETTING
+    before = spark.conf.get(setting)
+    with workspace.Workspace(spark) as ws:
+        ws.stage(numbers(spark, 5), "t")
+        ws.expect(10)
+        assert spark.conf.get(setting) == before
+        ws.expect(100 * workspace.ROWS_PER_TASK)
+        ws.expect(50 * workspace.ROWS_PER_TASK)
+        assert spark.conf.get(setting) == "100"
+        path, fs = ws._hadoop_path()
+        assert fs.exists(path)
+    assert spark.conf.get(setting) == before
+    assert not fs.exists(path)
+
+
+def test_counting_while_writing_nothing(spark, ws):
+    staged, seen = ws.stage_counted(numbers(spark, 5).filter("id > 9"), "t", even=F.count_if(F.col("id") % 2 == 0))
+    assert seen == {"rows": 0, "even": 0} and staged.isEmpty()
