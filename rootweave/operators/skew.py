@@ -52,7 +52,7 @@ def skew_join(big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None,
 
 
 class Keys(NamedTuple):
-    """A staged one-column list without duplicates, and its length."""
+    """A one-column list without duplicates, and a number that its length cannot exceed."""
 
     frame: DataFrame
     rows: int
@@ -66,7 +66,7 @@ def stage_keys(df: DataFrame, ws: Workspace, label: str) -> Keys:
 def semi_join(big: DataFrame, keys: Keys, key: str, how: str = "left_semi") -> DataFrame:
     """Rows of ``big`` whose key is in ``keys``.
 
-    A counted short list is broadcast, so ``big`` is not moved at all; a long one is
+    A list known to be short is broadcast, so ``big`` is not moved at all; a long one is
     joined by shuffle with the hot keys spread.
     """
     if keys.rows <= BROADCAST_ROWS:

@@ -135,22 +135,24 @@ def impact_start(edge_state: DataFrame, seed_state: DataFrame) -> DataFrame:
     )
 
 
-def impact_start_staged(edge_state: DataFrame, seed_state: DataFrame, ws: Workspace) -> Keys:
+def impact_start_staged(edge_state: DataFrame, seed_state: DataFrame, changed_edges: int, ws: Workspace) -> Keys:
     """:func:`impact_start` for a written ``edge_state``, moving little when little changed.
 
-    A counted short list of changed identifiers is broadcast to the edges before they
-    are grouped; a long one is joined after the grouping, when each identifier is one row.
+    A short list of changed identifiers (there are no more than changed edges) is broadcast
+    to the edges before they are grouped; a long one is joined after the grouping, when each
+    identifier is one row.
     """
-    moved = stage_keys(edge_state.filter(F.col("was") != F.col("now")).select("id_key"), ws, "moved-keys")
-    if moved.rows <= BROADCAST_ROWS:
-        edge_state = semi_join(edge_state, moved, "id_key")
+    if changed_edges <= BROADCAST_ROWS:
+        moved = edge_state.filter(F.col("was") != F.col("now")).select("id_key").distinct()
+        edge_state = semi_join(edge_state, Keys(moved, changed_edges), "id_key")
     return stage_keys(impact_start(edge_state, seed_state), ws, "start")
 
 
 def impacted_entities(start: Keys, components: DataFrame, ws: Workspace) -> Keys:
     """``start(rel_id)`` and all members of the previous ``components`` it touches."""
-    touched = stage_keys(semi_join(components, start, "rel_id").select("component_id"), ws, "touched")
-    members = semi_join(components, touched, "component_id").select("rel_id")
+    touched = semi_join(components, start, "rel_id").select("component_id").distinct()
+    # An entity is in one component, so no more components are touched than entities.
+    members = semi_join(components, Keys(touched, start.rows), "component_id").select("rel_id")
     return stage_keys(members.unionByName(start.frame), ws, "region")
 
 
@@ -164,8 +166,11 @@ def impacted_seeds(seeds: DataFrame, region: Keys) -> DataFrame:
 def scoped_recompute(
     edges: DataFrame, seeds: DataFrame, region: Keys, ws: Workspace, max_rounds: int = 100
 ) -> tuple[DataFrame, DataFrame]:
-    """Mapping and component labels of a region, computed from its own edges and seeds."""
-    region_seeds = ws.stage(impacted_seeds(seeds, region), "seeds")
+    """Mapping and component labels of a region, computed from its own edges and seeds.
+
+    ``edges`` and ``seeds`` are written tables; they are scanned once per use.
+    """
+    region_seeds = impacted_seeds(seeds, region)
     found = components_with_seeds(semi_join(edges, region, "rel_id"), region_seeds, ws, max_rounds)
     return assign_roots(found, region_seeds), found.labels
 
@@ -197,7 +202,8 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
     first = committed_run(spark, cfg) is None
     tables = load_sources(spark, cfg)
     ws.expect(sum(t.count() for t in tables.values()))
-    old_edges, old_seeds = spark.table(cfg.state(EDGE_SNAPSHOT)), spark.table(cfg.state(SEED_SNAPSHOT))
+    old_edges = spark.table(cfg.state(EDGES)).filter("now").select("source_table", "rel_id", "id_key")
+    old_seeds = spark.table(cfg.state(SEEDS)).filter("now").select("seed_rel_id")
     if first:
         old_edges, old_seeds = old_edges.limit(0), old_seeds.limit(0)
     output = spark.table(cfg.output).select(
@@ -229,7 +235,7 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
             mapping = mapping.unionByName(enforce_active(kept, seeds))
     else:
         previous = spark.table(cfg.state(COMPONENTS))
-        region = impacted_entities(impact_start_staged(edge_state, seed_state, ws), previous, ws)
+        region = impacted_entities(impact_start_staged(edge_state, seed_state, changed_edges, ws), previous, ws)
         recomputed, new_labels = scoped_recompute(edges, seeds, region, ws, cfg.max_rounds)
         mapping, impacted = merge_output(output, region, recomputed), region.rows
         labels = anti_join(previous, region, "rel_id").unionByName(new_labels)

@@ -21,20 +21,23 @@ from workload.relational import BEFORE_MEMBER, both_graphs, graph, one_step_memb
 from workload.views import BEFORE, NOW, config, create_tables, history_tables
 
 
-def states(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Staged presence frames of edges and seeds, BEFORE against NOW."""
+def states(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[DataFrame, DataFrame, int]:
+    """Staged presence frames of edges and seeds, BEFORE against NOW, and the number of changed edges."""
     cfg = config("current")
     before, now = (history_tables(spark, sf_dir, s) for s in (BEFORE, NOW))
-    edge_state = ws.stage(delta.presence(edge_rows(before, cfg), edge_rows(now, cfg)), "edge-state")
+    edge_state, counted = ws.stage_counted(
+        delta.presence(edge_rows(before, cfg), edge_rows(now, cfg)), "edge-state",
+        changed=F.count_if(F.col("was") != F.col("now")),
+    )
     seed_state = ws.stage(delta.presence(active_seeds(before, cfg), active_seeds(now, cfg)), "seed-state")
-    return edge_state, seed_state
+    return edge_state, seed_state, counted["changed"]
 
 
 def region_of(spark: SparkSession, sf_dir: str, ws: Workspace) -> tuple[Keys, DataFrame, DataFrame]:
     """(region, edge state, seed state)."""
-    edge_state, seed_state = states(spark, sf_dir, ws)
+    edge_state, seed_state, changed = states(spark, sf_dir, ws)
     previous, _ = solve(spark, sf_dir, "current", BEFORE)
-    start = refresh.impact_start_staged(edge_state, seed_state, ws)
+    start = refresh.impact_start_staged(edge_state, seed_state, changed, ws)
     return refresh.impacted_entities(start, previous.labels, ws), edge_state, seed_state
 
 
