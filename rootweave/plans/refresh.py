@@ -190,8 +190,8 @@ def enforce_active(mapping: DataFrame, seeds: DataFrame) -> DataFrame:
 def refresh_mapping(spark: SparkSession, cfg: MappingConfig) -> RunStats:
     """Bring the output table up to date with the source tables.
 
-    The result equals a full rebuild of the configured scope. Without any change nothing
-    is written. If there is no consistent state of an earlier run, everything is rebuilt.
+    The result equals a full rebuild of the configured scope. Without any change all
+    tables stay as they are. If there is no consistent state of an earlier run, everything is rebuilt.
     """
     with Workspace(spark) as ws:
         return _refresh(spark, cfg, ws)
