@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe
+from rootweave.llm import bpe, rules
 from rootweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,44 @@ def op2_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_quality(spark, sf_dir):
+    rows = rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rules.passes(rules.BASE)).alias("base_failed"),
+        rules.passes(rules.PROSE_2).alias("kept"),
+        "failed_bits",
+    )
+
+
+ORACLES["op3_quality"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+l AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d
+),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w),
+g AS (SELECT doc_id, i, w[i] || chr(9) || w[i + 1] || chr(9) || w[i + 2] AS g FROM p),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+    len(list_filter(w.w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words
+  FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)
+),
+b AS (
+  SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+    + 4 * (word_chars < 2 * n_words)::BIGINT + 8 * (word_chars > 15 * n_words)::BIGINT
+    + 16 * (2 * n_symbols > n_words)::BIGINT + 32 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+    + 64 * (100 * n_letter_words < 50 * n_words)::BIGINT AS failed_bits
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
+"""
