@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, rules
+from rootweave.llm import bpe, linedup, rules
 from rootweave.llm.common import table
+from rootweave.workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +73,35 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
 """
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    shorter = linedup.drop_repeated_lines(docs, Workspace(spark), removed_col="removed_lines")
+    return shorter.select("doc_id", "removed_lines", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+ORACLES["op10_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL
+),
+e AS (
+  SELECT *, coalesce(substr(md5(lag(md5(line)) OVER d || md5(line)), 1, 2) < '40', false) AS ends FROM l
+  WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+),
+c AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM e
+),
+p AS (SELECT doc_id, k, min(pos) AS start, count(*) AS size, string_agg(line, chr(10) ORDER BY pos) AS passage FROM c GROUP BY doc_id, k),
+f AS (
+  SELECT doc_id, k, passage, size >= 2 AND trim(translate(passage, chr(10) || chr(9) || chr(13), '   ')) <> ''
+    AND row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) > 1 AS gone, size, start FROM p
+),
+t AS (
+  SELECT doc_id, sum(CASE WHEN gone THEN size ELSE 0 END)::BIGINT AS removed_lines,
+    coalesce(string_agg(passage, chr(10) ORDER BY start) FILTER (WHERE NOT gone), '') AS text FROM f GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(removed_lines, 0)::BIGINT AS removed_lines, md5(t.text) AS text_md5 FROM documents d LEFT JOIN t USING (doc_id)
+"""
