@@ -31,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rootweave.llm.common import small_batches
+
 # Entries kept per Python worker before a cache starts anew; results do not depend on them.
-MEMO = 150_000
-PAIRS = 400_000
+MEMO = 80_000
+PAIRS = 200_000
 END = 1 << 40  # later than every rank
 
 # In these characters the standard library's classes agree with Unicode's; others take the slow path.
@@ -327,6 +329,7 @@ def encode(
 ) -> DataFrame:
     """``docs`` with ``ids_col`` (ids as little-endian unsigned 32-bit integers) and ``count_col`` (long)."""
     spark = docs.sparkSession
+    small_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
 
     @F.arrow_udf("binary")
@@ -342,6 +345,7 @@ def encode(
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``text_col``, the text of its ids; null ids are no tokens. An id that is not in the vocabulary fails."""
     spark = encoded.sparkSession
+    small_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
 
     @F.arrow_udf("string")

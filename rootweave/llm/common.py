@@ -16,3 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def whole(text: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch: documents are long, and a batch exists several times in memory."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))

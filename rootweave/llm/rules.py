@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from rootweave.llm.common import small_batches
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_letter_words")
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
@@ -105,6 +107,7 @@ def _measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def ledger(docs: DataFrame, text_col: str = "text", bits_col: str = "failed_bits") -> DataFrame:
     """``docs`` with the measurements and ``bits_col`` (long), one bit per failed rule."""
+    small_batches(docs.sparkSession)
     measured = docs.withColumn("_measured", _measured.asNondeterministic()(F.col(text_col)))
     measured = measured.withColumns({name: F.col(f"_measured.{name}") for name in MEASURES}).drop("_measured")
     bits = [F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long") for rule in RULES]
