@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, linedup, rules
+from rootweave.llm import bpe, linedup, rules, secrets
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -105,3 +105,14 @@ t AS (
 )
 SELECT d.doc_id, coalesce(removed_lines, 0)::BIGINT AS removed_lines, md5(t.text) AS text_md5 FROM documents d LEFT JOIN t USING (doc_id)
 """
+
+
+@query
+def op5_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.train(secrets.samples(docs)))
+    return found.select(
+        "doc_id", *(secrets.count_of("base_spans", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.written("base_spans"), 256).alias("base_sha256"),
+        secrets.written("spans").alias("spans"),
+    )
