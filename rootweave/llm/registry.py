@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, linedup, rules, secrets
+from rootweave.llm import bpe, linedup, rules, secrets, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -116,3 +116,17 @@ def op5_secrets(spark, sf_dir):
         F.sha2(secrets.written("base_spans"), 256).alias("base_sha256"),
         secrets.written("spans").alias("spans"),
     )
+
+
+TOXIC_FROM = 0.3
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with Workspace(spark) as ws:
+        model = toxicity.train(docs, table(spark, sf_dir, "labels"), ws)
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("toxicity.spans").alias("n_spans"),
+    )
