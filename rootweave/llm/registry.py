@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, linedup, rules, secrets, toxicity
+from rootweave.llm import bpe, linedup, mixing, rules, secrets, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -130,3 +130,48 @@ def op4_toxicity(spark, sf_dir):
         "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), F.col("toxicity.score").alias("score"),
         (F.col("toxicity.score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("toxicity.spans").alias("n_spans"),
     )
+
+
+MAX_REPEATS = 2.0
+
+
+@query
+def op1_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    planned = mixing.plan(docs, Workspace(spark), max_repeats=MAX_REPEATS)
+    return mixing.realise(docs.select("doc_id", "source"), planned)
+
+
+def mix_sql(docs: str, columns: str) -> str:
+    """SQL for the mix of relation ``docs``: its ``columns`` with epoch and order key."""
+    return rf"""
+    WITH RECURSIVE d AS (
+      SELECT *, coalesce('=' || source, '-') AS s, md5('mix|' || doc_id) AS h,
+        len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS tokens
+      FROM {docs}
+    ),
+    t AS (SELECT s, sum(tokens)::DOUBLE AS n FROM d GROUP BY s),
+    b AS (
+      SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+      UNION ALL
+      SELECT i + 1, CASE WHEN ok THEN low ELSE (low + high) / 2 END, CASE WHEN ok THEN (low + high) / 2 ELSE high END FROM (
+        SELECT b.*, pow((SELECT max(n) / min(n) FROM t WHERE n > 0), 1 - (low + high) / 2) <= {MAX_REPEATS} AS ok FROM b WHERE i < 50
+      )
+    ),
+    a AS (SELECT high AS a FROM b WHERE i = 50),
+    c AS (SELECT max(n / pow(n, a)) AS cover FROM t, a WHERE n > 0),
+    k AS (
+      SELECT s, n, CASE WHEN n > 0 THEN round(pow(n, a) * cover) ELSE 0 END AS take FROM t, a, c
+    ),
+    p AS (SELECT s, take, n, CASE WHEN n > 0 THEN floor(take / n) ELSE 1 END::BIGINT AS part FROM k),
+    o AS (
+      SELECT d.*, part, take - part * n AS rest, sum(tokens) OVER (PARTITION BY s ORDER BY
+        md5('mix|' || s || '|' || part || '|' || h[1:3]), md5('mix|' || s || '|' || part || '|' || h[1:6]),
+        md5('mix|' || s || '|' || part || '|doc' || doc_id)) AS until
+      FROM d JOIN p USING (s)
+    ),
+    e AS (SELECT *, unnest(range(0, part + (rest > 0 AND until <= rest)::BIGINT)) AS epoch FROM o)
+    SELECT {columns}, epoch::INT AS epoch, md5('mix|' || s || '|' || epoch || '|' || h[1:3]) AS order_key FROM e"""
+
+
+ORACLES["op1_mixing"] = mix_sql("documents", "doc_id, source")
