@@ -42,8 +42,6 @@ class MappingConfig:
     only through open-ended rows that are not soft-deleted.
     ``carry_forward``: on a first refresh, keep the rows already in the output table
     whose entity is not part of the current graph and whose root is active.
-    ``max_rounds``: contraction rounds after which the run fails; it never returns
-    a partial result.
     """
 
     sources: tuple[EdgeSource, ...]
@@ -56,7 +54,6 @@ class MappingConfig:
     root_out: str = "root_id"
     edge_scope: str = CURRENT
     carry_forward: bool = False
-    max_rounds: int = 100
 
     def __post_init__(self) -> None:
         if self.edge_scope not in (HISTORY, CURRENT):

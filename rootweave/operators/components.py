@@ -20,8 +20,12 @@ from rootweave.operators.skew import hot_keys, hot_limit, skew_join
 from rootweave.workspace import Workspace
 
 
+# Rounds without fewer edges after which the contraction is given up; each round should have fewer.
+PATIENCE = 10
+
+
 class NotConverged(RuntimeError):
-    """The round limit was reached; no partial result is returned."""
+    """The rounds made no progress; no partial result is returned."""
 
 
 @dataclass(frozen=True)
@@ -42,7 +46,6 @@ def connected_components(
     edges: DataFrame,
     ws: Workspace,
     isolated: DataFrame | None = None,
-    max_rounds: int = 100,
     entity_hash=F.xxhash64,
 ) -> Components:
     """Label every entity of ``edges(rel_id, id_key)`` with its component.
@@ -59,17 +62,17 @@ def connected_components(
     # Entities are numbered by a hash, so that the rounds move 64-bit numbers only.
     # Should two entities share a number, the labels show it and numbering is repeated.
     numbered = pairs.withColumn("v", entity_hash(F.col("rel_id")).cast("bigint"))
-    labels, seen, rounds = label(numbered, counted["rows"], ws, max_rounds)
+    labels, seen, rounds = label(numbered, counted["rows"], ws)
     if seen["clashes"]:
         names = number_apart(pairs, ws, entity_hash)
         numbered = skew_join(pairs, names, "rel_id", hot_keys(pairs, "rel_id", counted["rows"]))
-        labels, seen, rounds = label(numbered, counted["rows"], ws, max_rounds)
+        labels, seen, rounds = label(numbered, counted["rows"], ws)
     return Components(labels, hot_keys(labels, "component_id", seen["rows"]), seen["rows"], rounds)
 
 
-def label(pairs: DataFrame, rows: int, ws: Workspace, max_rounds: int) -> tuple[DataFrame, dict, int]:
+def label(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, dict, int]:
     """Labels of ``pairs(rel_id, id_key, v)``, what was counted, and the rounds it took."""
-    levels = contract(*star_edges(pairs, rows, ws), ws, max_rounds)
+    levels = contract(*star_edges(pairs, rows, ws), ws)
     names = pairs.select("v", "rel_id").distinct().groupBy("v").agg(
         F.min("rel_id").alias("rel_id"), F.max("rel_id").alias("last")
     )
@@ -147,12 +150,13 @@ class Level:
         return self.join(self.links, onward, "parent").select("v", "target")
 
 
-def contract(edges: DataFrame, rows: int, ws: Workspace, max_rounds: int) -> list[Level]:
+def contract(edges: DataFrame, rows: int, ws: Workspace) -> list[Level]:
     """Contract ``edges(a, b)`` until none is left; one level per round."""
     levels = []
+    fewest, stalled = rows, 0
     while rows:
-        if len(levels) == max_rounds:
-            raise NotConverged(f"{rows} edges left after {max_rounds} rounds")
+        if stalled == PATIENCE:
+            raise NotConverged(f"still {rows} edges after {PATIENCE} rounds without progress")
         # Vertex numbers are hashes, so a rotation of their bits is a fresh random order.
         # Each order serves two rounds: the first gathers stars around its local minima
         # and the second absorbs them.
@@ -164,6 +168,8 @@ def contract(edges: DataFrame, rows: int, ws: Workspace, max_rounds: int) -> lis
         levels.append(level)
         edges, counted = ws.stage_counted(contracted(edges, level), "edges")
         rows = counted["rows"]
+        stalled = 0 if rows < fewest else stalled + 1
+        fewest = min(fewest, rows)
     return levels
 
 

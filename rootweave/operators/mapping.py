@@ -15,9 +15,9 @@ def seeds_as_entities(seeds: DataFrame) -> DataFrame:
     return seeds.select(F.col("seed_rel_id").alias("rel_id"))
 
 
-def components_with_seeds(edges: DataFrame, seeds: DataFrame, ws: Workspace, max_rounds: int = 100) -> Components:
+def components_with_seeds(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> Components:
     """Components of all entities with an edge and of all seeds, even those without one."""
-    return connected_components(edges, ws, isolated=seeds_as_entities(seeds), max_rounds=max_rounds)
+    return connected_components(edges, ws, isolated=seeds_as_entities(seeds))
 
 
 def seeded_components(found: Components, seeds: DataFrame) -> DataFrame:
@@ -53,10 +53,10 @@ def expand_component(found: Components, start: DataFrame) -> DataFrame:
     return reached.unionByName(start.select("rel_id")).distinct()
 
 
-def full_mapping(edges: DataFrame, seeds: DataFrame, ws: Workspace, max_rounds: int = 100) -> DataFrame:
+def full_mapping(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> DataFrame:
     """(rel_id, root_id) of the whole graph, from nothing but edges and seeds."""
     seeds = ws.stage(seeds, "seeds")
-    return assign_roots(components_with_seeds(edges, seeds, ws, max_rounds), seeds)
+    return assign_roots(components_with_seeds(edges, seeds, ws), seeds)
 
 
 def present_as_long(mapping: DataFrame, entity_out: str, root_out: str) -> DataFrame:

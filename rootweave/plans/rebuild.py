@@ -21,7 +21,7 @@ def rebuild_mapping(spark: SparkSession, cfg: MappingConfig, ws: Workspace, writ
     """
     tables = load_sources(spark, cfg)
     ws.expect(sum(t.count() for t in tables.values()))
-    mapping = full_mapping(edge_rows(tables, cfg), active_seeds(tables, cfg), ws, cfg.max_rounds)
+    mapping = full_mapping(edge_rows(tables, cfg), active_seeds(tables, cfg), ws)
     result = mapping.select(
         F.col("rel_id").alias(cfg.entity_out), F.col("root_id").alias(cfg.root_out)
     )

@@ -164,14 +164,14 @@ def impacted_seeds(seeds: DataFrame, region: Keys) -> DataFrame:
 
 
 def scoped_recompute(
-    edges: DataFrame, seeds: DataFrame, region: Keys, ws: Workspace, max_rounds: int = 100
+    edges: DataFrame, seeds: DataFrame, region: Keys, ws: Workspace
 ) -> tuple[DataFrame, DataFrame]:
     """Mapping and component labels of a region, computed from its own edges and seeds.
 
     ``edges`` and ``seeds`` are written tables; they are scanned once per use.
     """
     region_seeds = impacted_seeds(seeds, region)
-    found = components_with_seeds(semi_join(edges, region, "rel_id"), region_seeds, ws, max_rounds)
+    found = components_with_seeds(semi_join(edges, region, "rel_id"), region_seeds, ws)
     return assign_roots(found, region_seeds), found.labels
 
 
@@ -227,7 +227,7 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
     edges = edge_state.filter("now").select("source_table", "rel_id", "id_key")
     seeds = seed_state.filter("now").select("seed_rel_id")
     if first:
-        found = components_with_seeds(edges, seeds, ws, cfg.max_rounds)
+        found = components_with_seeds(edges, seeds, ws)
         labels, mapping, impacted = found.labels, assign_roots(found, seeds), found.entities
         if cfg.carry_forward:
             region = Keys(labels.select("rel_id"), impacted)
@@ -236,7 +236,7 @@ def _refresh(spark: SparkSession, cfg: MappingConfig, ws: Workspace) -> RunStats
     else:
         previous = spark.table(cfg.state(COMPONENTS))
         region = impacted_entities(impact_start_staged(edge_state, seed_state, changed_edges, ws), previous, ws)
-        recomputed, new_labels = scoped_recompute(edges, seeds, region, ws, cfg.max_rounds)
+        recomputed, new_labels = scoped_recompute(edges, seeds, region, ws)
         mapping, impacted = merge_output(output, region, recomputed), region.rows
         labels = anti_join(previous, region, "rel_id").unionByName(new_labels)
         if cfg.carry_forward and seed_moves["removed"]:
