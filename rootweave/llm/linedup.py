@@ -31,7 +31,8 @@ def _chunks(docs: DataFrame, text: Column, window: int, mean_lines: int) -> Data
     """``docs`` with ``_chunks``, an array of (start, size, digest).
 
     Every intermediate array is also passed on, which keeps the optimizer from computing it anew
-    for each element of the next one.
+    for each element of the next one. For the same reason the caller explodes it as outer: else a
+    test for empty arrays is inferred and, with all these expressions in it, pushed to the scan.
     """
     end_below = f"{256 // mean_lines:02x}"
     lines = docs.withColumn("_lines", F.transform(F.split(text, "\n", -1), F.md5))
@@ -66,7 +67,7 @@ def drop_repeated_lines(
     keyed = docs.withColumns({"_id": F.col(id_col), "_digest": F.md5(F.col(text_col).cast("binary"))})
     found = _chunks(
         keyed.filter(F.instr(text_col, "\n") > 0).select(*KEY, F.col(text_col).alias("_text")), F.col("_text"), window, mean_lines
-    ).select(*KEY, F.inline("_chunks"))
+    ).select(*KEY, F.inline_outer("_chunks")).filter("chunk IS NOT NULL")
     # A digest for each chunk is all that is needed to tell which may repeat.
     found = ws.stage(found, "chunks")
     repeated = found.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk")
