@@ -156,7 +156,8 @@ def realise(
     met = keyed.join(planned.select("_source", "_part", "cut"), "_source").withColumns(_places(seed))
     taken = F.coalesce(F.struct("_block", "_sub", "_doc") <= F.col("cut"), F.lit(False))
     epochs = F.filter(F.sequence(F.lit(0), F.col("_part")), lambda e: (e < F.col("_part")) | taken)
-    rows = met.withColumn("_epoch", F.explode(epochs))
+    # As outer, since else a test for empty arrays repeats all these hashes in the scan.
+    rows = met.withColumn("_epoch", F.explode_outer(epochs)).filter("_epoch IS NOT NULL")
     if epoch_col:
         columns.append(F.col("_epoch").alias(epoch_col))
     if order_col:
