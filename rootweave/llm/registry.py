@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, jaccard, linedup, mixing, rules, secrets, toxicity
+from rootweave.llm import bpe, embeddings, jaccard, linedup, mixing, rules, secrets, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -181,3 +181,8 @@ ORACLES["op1_mixing"] = mix_sql("documents", "doc_id, source")
 def op7_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.jaccard_components(docs, Workspace(spark), size=3, percent=90)
+
+
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark))
