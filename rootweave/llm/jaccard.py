@@ -107,7 +107,7 @@ class SizeClasses:
     def parts(self, number: int) -> tuple[int, int, np.ndarray]:
         """(parts, least agreement, limits of the parts)."""
         differ = 2 * (self.start(number + 1) - 1) * (100 - self.percent) // (100 + self.percent)
-        k = differ + differ // 2 + 1
+        k = differ + differ // 8 + 1
         return k, k - differ, np.array([(i << 64) // k for i in range(k)], np.uint64)
 
     def tokens(self, hashes: np.ndarray) -> list[tuple[int, np.ndarray]]:

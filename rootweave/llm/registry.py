@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, embeddings, jaccard, linedup, mixing, rules, secrets, toxicity
+from rootweave.llm import bpe, embeddings, jaccard, linedup, mixing, rules, secrets, shards, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -186,3 +186,15 @@ def op7_jaccard(spark, sf_dir):
 @query
 def op8_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
+@query
+def op6_shards(spark, sf_dir):
+    # Byte-level ids: one per UTF-8 byte.
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("ids"))
+    ws = Workspace(spark)
+    path = f"{ws.path}/shards"
+    shards.write(docs, ws, path, width=1, length=2_048)
+    return shards.read(spark, path, width=1).select(
+        "slot", "shard", "offset", "doc_id", "piece", "n_ids", F.md5("ids").alias("ids_md5")
+    )
