@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, embeddings, jaccard, linedup, mixing, rules, secrets, shards, toxicity
+from rootweave.llm import bpe, embeddings, jaccard, licences, linedup, mixing, rules, secrets, shards, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -198,3 +198,35 @@ def op6_shards(spark, sf_dir):
     return shards.read(spark, path, width=1).select(
         "slot", "shard", "offset", "doc_id", "piece", "n_ids", F.md5("ids").alias("ids_md5")
     )
+
+
+@query
+def op9_licences(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.known_licences(spark)).select(
+        "doc_id", F.array_join("licences", ",").alias("licences"), "whole_text"
+    )
+
+
+def _licence_sql() -> str:
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    known = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in licences.KNOWN)
+    words = r"""' ' || trim(regexp_replace(regexp_replace(lower(text), {line}, ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '""".format(
+        line=quote(licences.COPYRIGHT_LINE)
+    )
+    for spelling, standard in licences.SPELLINGS:
+        words = f"replace({words}, ' {spelling} ', ' {standard} ')"
+    return rf"""
+    WITH k AS (SELECT DISTINCT licence, {words} AS form FROM (VALUES {known}) AS t(licence, text)),
+    u AS (
+      SELECT doc_id, coalesce(text, '') AS text, true AS whole FROM documents
+      UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))), false FROM documents WHERE contains(text, chr(10))
+      UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\n{{2,}}')), false FROM documents WHERE contains(text, chr(10) || chr(10))
+    ),
+    f AS (SELECT doc_id, whole, {words} AS form FROM u)
+    SELECT doc_id, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences,
+      bool_or(whole AND licence IS NOT NULL) AS whole_text
+    FROM f LEFT JOIN k USING (form) GROUP BY doc_id"""
+
+
+ORACLES["op9_licences"] = _licence_sql()
