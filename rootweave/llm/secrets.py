@@ -82,8 +82,12 @@ class Models:
         return F.split(F.lit(text), ",").cast("array<double>")
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> Models:
-    """Models from ``samples(value string, label int)``; label 1 marks secrets."""
+def train(samples: DataFrame, smoothing: float = 0.5, weight: float = 5.0) -> Models:
+    """Models from ``samples(value string, label int)``; label 1 marks secrets.
+
+    A pair's probability is its share among the pairs with the same first character, with ``weight``
+    further observations spread like the second characters of all pairs (each ``smoothing`` at least).
+    """
     clean = samples.select(F.regexp_replace("value", "[^A-Za-z0-9+/_=-]", "").alias("value"), "label").filter("length(value) > 1")
     pairs = clean.select("label", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("value") - 1), lambda i: F.substring(F.col("value"), i, F.lit(2))
@@ -94,11 +98,13 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> Models:
     if not (counts[0] and counts[1]):
         return Models([[0.0] * len(ALPHABET) for _ in ALPHABET])
 
-    def logs(label: int, a: str) -> list[float]:
-        row = [counts[label].get(a + b, 0) + smoothing for b in ALPHABET]
-        return [math.log(n / sum(row)) for n in row]
+    def logs(label: int) -> list[list[float]]:
+        of = [[counts[label].get(a + b, 0) for b in ALPHABET] for a in ALPHABET]
+        single = [sum(row[j] for row in of) + smoothing for j in range(len(ALPHABET))]
+        share = [n / sum(single) for n in single]
+        return [[math.log((n + weight * p) / (sum(row) + weight)) for n, p in zip(row, share)] for row in of]
 
-    return Models([[r - o for r, o in zip(logs(1, a), logs(0, a))] for a in ALPHABET])
+    return Models([[r - o for r, o in zip(*rows)] for rows in zip(logs(1), logs(0))])
 
 
 def samples(docs: DataFrame, text_col: str = "text", train_docs: int = 20_000, id_col: str = "doc_id") -> DataFrame:
