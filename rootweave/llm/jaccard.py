@@ -17,9 +17,15 @@ first at one member per query, linked groups are merged, and what is still apart
 whole: every pair that may qualify and is not connected yet is compared exactly. So no link between
 components is lost, while a group of thousands of near copies costs one comparison per member.
 
+Sketches. Thousands of variants of one text that are alike, but not alike enough to link, share
+tokens and stay apart. Each set has a parity sketch: every element flips one of ``BITS`` bits. Two
+sketches differ in at most as many bits as their sets in elements, so a pair whose sketches differ in
+more than a link allows is dropped inside the join on the token, and no row is made of it. This never
+loses a link; for sets of several thousand elements the sketch fills up and drops less.
+
 Scale: all steps are joins and aggregations by token, document or group; token lists are bounded by
 the size of one text. Very frequent tokens are summarised per group before anything is joined to
-them, and adaptive execution splits large join partitions. Key lists are broadcast only if counted short.
+them, and the sets of a token are dealt to parts of at most ``PART`` when they are compared. Key lists are broadcast only if counted short.
 
 Defined cases: texts without words have no set and link with nothing; shorter ones than a shingle
 are one shingle; rows without an id have no component; rows that share an id count as one document
@@ -44,6 +50,8 @@ from rootweave.workspace import Workspace
 
 MEMO = 200_000
 GROWTH = 1.5  # of the size classes
+BITS = 512  # of a sketch
+PART = 1_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -126,7 +134,13 @@ class SizeClasses:
         return found
 
 
-_SETS = "_id long, n long, digest binary, tokens array<struct<upper: boolean, least: int, tokens: array<long>>>"
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the number of elements behind each of ``BITS`` bits, as 64-bit numbers."""
+    bits = (_mix(hashes + np.uint64(0xD6E8FEB86659FD93)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+
+
+_SETS = "_id long, n long, sketch array<long>, digest binary, tokens array<struct<upper: boolean, least: int, tokens: array<long>>>"
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -136,18 +150,22 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
         shingles, classes = Shingles(size), SizeClasses(percent)
         kind = pa.list_(pa.struct([("upper", pa.bool_()), ("least", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
         for batch in batches:
-            n, digest, tokens = [], [], []
+            n, sketches, digest, tokens = [], [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingles.of(text or "")
                 n.append(len(hashes))
+                sketches.append(sketch(hashes))
                 digest.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 tokens.append([
                     {"upper": i > 0, "least": least, "tokens": found.view(np.int64)}
                     for i, (least, found) in enumerate(classes.tokens(hashes) if len(hashes) else [])
                 ])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(tokens, kind)],
-                names=["_id", "n", "digest", "tokens"],
+                [
+                    batch.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(digest, pa.binary()), pa.array(tokens, kind),
+                ],
+                names=["_id", "n", "sketch", "digest", "tokens"],
             )
 
     return docs.mapInArrow(rows, _SETS)
@@ -170,6 +188,26 @@ def _similar(percent: int) -> Column:
     return 100 * common >= percent * (F.size("x") + F.size("y") - common)
 
 
+def _close(percent: int) -> Column:
+    """Whether sizes and sketches of ``x`` and ``y`` allow a link."""
+    n, m = F.col("x.n"), F.col("y.n")
+    bits = sum((F.bit_count(F.col("x.sketch")[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(BITS // 64)), F.lit(0))
+    near = (100 + percent) * bits <= (100 - percent) * (n + m)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & near
+
+
+def _meet(asked: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """(token, _id, other, b): sets of ``asked`` with members ``b`` of groups ``other`` in ``held`` that they may link with.
+
+    A link between two groups is looked for from the group with the larger name.
+    """
+    parts = F.ceil(F.col("sets") / PART).cast("int")
+    x = asked.withColumn("part", F.pmod(F.xxhash64("_id"), parts).cast("int")).alias("x")
+    y = held.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("y")
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("y.g") < F.col("x.g"))
+    return x.join(y, same & _close(percent)).select("x.token", "x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
+
+
 def _linked(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     x = hashes.select(F.col("_id").alias("a"), F.col("hashes").alias("x"))
@@ -190,8 +228,9 @@ def _rare(sets: DataFrame, reps: DataFrame, ws: Workspace) -> tuple[DataFrame, D
     ).filter(F.size("found") >= F.col("least"))
     lists = ws.stage(lists, "shared")
     shared = lists.select("_id", "upper", "least", F.explode("found.token").alias("token"))
-    first = F.slice("found.token", F.lit(1), F.size("found") - F.col("least") + 1)
-    return shared, ws.stage(lists.select("_id", F.explode(first).alias("token")), "rare")
+    first = F.slice("found", F.lit(1), F.size("found") - F.col("least") + 1)
+    rare = lists.select("_id", F.explode(first).alias("found")).select("_id", "found.token", "found.sets")
+    return shared, ws.stage(rare, "rare")
 
 
 def jaccard_components(
@@ -218,28 +257,25 @@ def jaccard_components(
     ).select(F.col("_id").alias("a"), "b")
     links = ws.stage(_linked(nearest, hashes, percent), "links")
 
+    drawn = ws.stage(semi_join(sets.select("_id", "n", "sketch"), ids, "_id"), "drawn")
+
     for whole in (False, True):
         roots = components(links, ws)
-        grouped = rare.join(roots.withColumnRenamed("v", "_id"), "_id", "left").select(
-            "token", "_id", F.coalesce("root", "_id").alias("g")
-        )
-        matrix = grouped.groupBy("token", "g").agg(F.min("_id").alias("head"))
-        several = matrix.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
-        grouped = ws.stage(grouped.join(several, "token", "left_semi"), "grouped")
-        matrix = ws.stage(grouped.groupBy("token", "g").agg(F.min("_id").alias("head")), "matrix")
-        other = matrix.withColumnsRenamed({"g": "other"})
-        # A link between two groups is looked for from the group with the larger name.
-        met = grouped.join(other, "token").filter("other < g")
-        near = ws.stage(met.select("_id", "other").distinct(), "near")
-        bound = _qualify(near, shared, rare, roots)
-        if whole:
-            pairs = met.join(bound, ["_id", "other"], "left_semi").select("token", "_id", "other").join(
-                grouped.select("token", F.col("_id").alias("b"), F.col("g").alias("other")), ["token", "other"]
-            ).select(F.col("_id").alias("a"), "b").distinct()
-        else:
-            pairs = met.join(bound, ["_id", "other"], "left_semi").groupBy("_id", "other", "head").count().groupBy("_id", "other").agg(
-                F.max_by("head", F.struct("count", -F.col("head"))).alias("b")
-            ).select(F.col("_id").alias("a"), "b")
+        placed = rare.join(roots.withColumnRenamed("v", "_id"), "_id", "left").withColumn("g", F.coalesce("root", "_id")).drop("root")
+        several = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
+        grouped = ws.stage(placed.join(several, "token", "left_semi").join(drawn, "_id"), "grouped")
+        # One member stands for its group under each token; the second time all do.
+        held = grouped if whole else grouped.groupBy("token", "g").agg(
+            F.min_by(F.struct("_id", "sets", "n", "sketch"), "_id").alias("head")
+        ).select("token", "g", "head.*")
+        met = ws.stage(_meet(grouped, held, percent), "met")
+        bound = _qualify(met.select("_id", "other").distinct(), shared, roots)
+        opened = met.join(bound, ["_id", "other"], "left_semi")
+        if not whole:
+            opened = opened.groupBy("_id", "other", "b").count().groupBy("_id", "other").agg(
+                F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
+            )
+        pairs = opened.select(F.col("_id").alias("a"), "b").distinct()
         links = ws.stage(links.unionByName(_linked(pairs, hashes, percent)), "links")
 
     roots = components(links, ws)
@@ -249,7 +285,7 @@ def jaccard_components(
     return result.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _qualify(near: DataFrame, shared: DataFrame, rare: DataFrame, roots: DataFrame) -> DataFrame:
+def _qualify(near: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
     """The (set, group) of ``near`` whose overlap with the union of the group's tokens is as large as a link needs."""
     groups = shared.join(roots.withColumnRenamed("v", "_id"), "_id", "left").select("token", F.coalesce("root", "_id").alias("other"))
     unions = groups.join(near.select("other").distinct(), "other", "left_semi").distinct()
