@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from functools import reduce
 from pathlib import PurePosixPath
@@ -35,11 +36,13 @@ def read_delimited(
 ) -> DataFrame:
     """One delimited file (or a folder of parts) with a header.
 
-    Without a schema the types are inferred, which reads the data twice.
+    Without a schema the types are inferred, which reads the data twice. With one, the header must
+    name its columns in order, and a value that does not fit its type fails the read.
     """
     reader = spark.read.option("header", True).option("sep", sep)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def ingest_folder(
@@ -50,10 +53,16 @@ def ingest_folder(
     sep: str = "\t",
     pattern: str = "*.csv",
 ) -> list[str]:
-    """Load every matching file of a folder into ``database`` as a Parquet table each."""
+    """Load every matching file of a folder into ``database`` as a Parquet table each.
+
+    Two files whose names lead to the same table are an error; nothing is loaded then.
+    """
     schemas = schemas or {}
     tables = []
-    for path, name in list_inputs(spark, folder, pattern).collect():
+    inputs = list_inputs(spark, folder, pattern).collect()
+    if clashes := [name for name, n in Counter(row.table_name for row in inputs).items() if n > 1]:
+        raise ValueError(f"several files for one table: {', '.join(sorted(clashes))}")
+    for path, name in inputs:
         table = f"{database}.{name}"
         read_delimited(spark, path, schemas.get(name), sep).write.mode("overwrite").format("parquet").saveAsTable(table)
         tables.append(table)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +45,15 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def insert_if_absent(df: DataFrame, table: str, keys: list[str]) -> None:
-    """Append the rows whose key the table does not have yet; safe to repeat."""
-    known = df.sparkSession.table(table).select(*keys).distinct()
-    append_rows(df.join(known, keys, "left_anti").dropDuplicates(keys), table)
+    """Append the rows whose key the table does not have yet; safe to repeat.
+
+    A null in a key equals a null. Of several new rows with one key the smallest is taken, null first,
+    so columns must be of types that can be ordered.
+    """
+    known = df.sparkSession.table(table).select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{i}")) for i, k in enumerate(keys)])
+    first = df.groupBy(*keys).agg(F.min(F.struct(*df.columns)).alias("_row")).select("_row.*")
+    append_rows(first.join(known, same, "left_anti"), table)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:

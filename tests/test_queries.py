@@ -8,8 +8,8 @@ import __spark_entry__ as entry
 import check
 
 SF_DIR = "/root/testdata/sf0.001"
-# The cases share one code path; the sequence test covers the others in small.
-SLOW = {f"scenario_{n}" for n in (1, 3, 5, 6, 7, 9, 10)}
+OWN = [group for group in entry.GROUPS if group.__name__.startswith("workload.")]
+NAMES = sorted(name for group in OWN for name in group.QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -19,13 +19,13 @@ def con():
     return check.database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     assert not check.compare(spark, con, name, SF_DIR).startswith("FAIL")
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == {name for group in OWN for name in group.ORACLES}
 
 
 def test_entry(spark):

@@ -1,4 +1,6 @@
-"""The scenario sequence: fourteen steps on the same tables, each with its exact delta."""
+"""Sequences of changes on the same tables; deltas and counters come from brute force."""
+
+import random
 
 from rootweave.operators.checks import golden_compare
 from rootweave.operators.edges import active_seeds, build_edges, load_sources, untagged
@@ -6,105 +8,99 @@ from rootweave.plans.rebuild import rebuild_mapping
 from rootweave.plans.scenario import Scenario, run_scenario, run_sequence
 from tests.world import OPEN, World
 
-# Invented ids with the numeric order C < G, F < G, E < A, B < A.
-A, B, E, G, F, C = "500", "450", "420", "600", "550", "90"
-K1, K2, K3, K4, K5 = "one", "two", "three", "four", "five"
-CLOSED = "2020-03-05 10:51:06"
+PAIR = "REL_ID string, REL_ID_REGIE_KLANT string"
+DELTA = f"kind string, {PAIR}"
+ENDED = "2021-11-11 11:11:11"
 
 
-def sample(spark, ws, **overrides):
+def random_world(spark, ws, seed=5, entities=24, keys=20, **overrides):
+    """Some entities with a register row, every third of them a root, and random links, some of which have ended."""
+    rng = random.Random(seed)
     w = World(spark, ws, **overrides)
-    w.add(A, K1, "Y"), w.add(C, K3, "Y", CLOSED), w.add(C, K3, "N"), w.add(G, K4, "N", CLOSED), w.add(G, K4, "Y")
-    w.add(F, K5, "N", CLOSED), w.add(F, K5, "N")
-    for rel, key in ((E, K2), (B, K1), (F, K4)):
-        w.join(rel, key, "N", CLOSED), w.join(rel, key, "Y")
-    for rel, key in ((B, K2), (C, K3), (F, K3), (G, K3)):
-        w.join(rel, key, "N", CLOSED)
-    w.join(A, K1), w.join(C, K4), w.join(G, K4)
+    names = [str(rng.randrange(10, 5_000)) if i % 4 else f"ent-{i}" for i in range(entities)]
+    for i, name in enumerate(names[: entities // 2]):
+        w.add(name, f"key{rng.randrange(keys)}", "N" if i % 3 else "Y", OPEN if rng.random() < 0.8 else ENDED)
+    for name in names:
+        w.join(name, f"key{rng.randrange(keys)}", rng.choice("NNNY"), OPEN if rng.random() < 0.7 else ENDED)
     return w
 
 
-def test_history_scope_gives_the_six_known_rows(spark, ws):
-    w = sample(spark, ws, edge_scope="history")
+def state(w):
+    edges, seeds = w.graph()
+    return set(edges), seeds, w.expected()
+
+
+def test_history_scope(spark, ws):
+    w = random_world(spark, ws, edge_scope="history")
     w.save()
-    edges = build_edges(load_sources(spark, w.cfg), w.cfg)
-    assert (edges.count(), untagged(edges).count()) == (14, 11)
-    assert {r[0] for r in active_seeds(load_sources(spark, w.cfg), w.cfg).collect()} == {A, G}
-    golden = spark.createDataFrame(
-        [(r, A) for r in (A, B, E)] + [(r, G) for r in (C, F, G)], "REL_ID string, REL_ID_REGIE_KLANT string"
-    )
+    sources = load_sources(spark, w.cfg)
+    edges, seeds = w.graph(history=True)
+    assert untagged(build_edges(sources, w.cfg)).count() == len(set(edges))
+    assert {r[0] for r in active_seeds(sources, w.cfg).collect()} == seeds
+    golden = spark.createDataFrame(sorted(w.expected(history=True)), PAIR)
     assert golden_compare(rebuild_mapping(spark, w.cfg, ws), golden).isEmpty()
 
 
 def test_sequence(spark, ws):
-    w = sample(spark, ws)
-    assert w.refresh().as_dict() == {
-        "changed_edges": 7, "added_seeds": 2, "removed_seeds": 0, "impacted_rel_ids": 4, "output_rows": 3}
-
-    def flag_off():
-        w.register[4][4] = "N"
-
-    def set_link(rel, column, value):
-        next(r for r in w.link if r[0] == rel)[column] = value
-
-    def both_tables():
-        w.add("n10", "x", "Y"), w.join("n11", "x")
-
-    def cross_table():
-        w.add("n12", K1, "N"), w.join("n13", K1)
-
-    # Fixed list: step, mutation, inserted, removed, rows of the output, and
-    # (changed edges, added seeds, removed seeds).
-    steps = [
-        ("1", lambda: w.add("n1", "z", "Y"), [("n1", "n1")], [], 4, (1, 1, 0)),
-        ("2", flag_off, [], [(C, G), (G, G)], 2, (0, 0, 1)),
-        ("3 pre", lambda: w.join("n2", K1), [("n2", A)], [], 3, (1, 0, 0)),
-        ("3", lambda: set_link("n2", 0, "n3"), [("n3", A)], [("n2", A)], 3, (2, 0, 0)),
-        ("4", lambda: None, [], [], 3, (0, 0, 0)),
-        ("5", lambda: w.join(A, "alt"), [], [], 3, (1, 0, 0)),
-        ("6", lambda: w.join(A, K1), [], [], 3, (0, 0, 0)),
-        ("7", lambda: w.join("n4", K1), [("n4", A)], [], 4, (1, 0, 0)),
-        ("8", both_tables, [("n10", "n10"), ("n11", "n10")], [], 6, (2, 1, 0)),
-        ("9", cross_table, [("n12", A), ("n13", A)], [], 8, (2, 0, 0)),
-        ("9 rerun", lambda: None, [], [], 8, (0, 0, 0)),
-        ("10 close", lambda: set_link("n4", 2, CLOSED), [], [("n4", A)], 7, (1, 0, 0)),
-        ("10 reopen", lambda: set_link("n4", 2, OPEN), [("n4", A)], [], 8, (1, 0, 0)),
-        ("11", lambda: set_link("n11", 3, K1), [("n11", A)], [("n11", "n10")], 8, (2, 0, 0)),
-    ]
-    for case, change, inserted, removed, rows, moves in steps:
-        def mutate(_spark, _cfg, change=change):
-            change()
-            w.save()
-
-        expected = spark.createDataFrame(
-            [("inserted", *p) for p in inserted] + [("removed", *p) for p in removed],
-            "kind string, REL_ID string, REL_ID_REGIE_KLANT string",
+    w = random_world(spark, ws)
+    edges, seeds, mapped = state(w)
+    stats = w.refresh()
+    assert (stats.changed_edges, stats.added_seeds, stats.output_rows) == (len(edges), len(seeds), len(mapped))
+    rooted = sorted((rel, key) for rel, key in edges if rel in {rel for rel, _ in mapped})
+    key = rooted[0][1]
+    root = next(r for r in w.register if r[4] == "Y" and r[2] == OPEN and r[0] != rooted[0][0])
+
+    def change(name, column, value):
+        next(r for r in w.link if r[0] == name)[column] = value
+
+    steps = {
+        "new root": lambda: w.add("fresh", "fresh key", "Y"),
+        "root lost": lambda: root.__setitem__(4, "N"),
+        "entity joins": lambda: w.join("guest", key),
+        "entity renamed": lambda: change("guest", 0, "renamed"),
+        "nothing": lambda: None,
+        "further key": lambda: w.join(rooted[0][0], "further key"),
+        "same link again": lambda: w.join("renamed", key),
+        "link to end": lambda: w.join("short", key),
+        "root and link": lambda: (w.add("pair", "pair key", "Y"), w.join("partner", "pair key")),
+        "register and link": lambda: (w.add("left", key, "N"), w.join("right", key)),
+        "nothing again": lambda: None,
+        "link ended": lambda: change("short", 2, ENDED),
+        "link open again": lambda: change("short", 2, OPEN),
+        "link moved": lambda: change("partner", 3, key),
+    }
+    for case, step in steps.items():
+        edges, seeds, mapped = state(w)
+        step()
+        edges_now, seeds_now, mapped_now = state(w)
+        delta = [("inserted", *p) for p in mapped_now - mapped] + [("removed", *p) for p in mapped - mapped_now]
+        result = run_scenario(
+            spark, w.cfg, Scenario(case, lambda *_: w.save(), spark.createDataFrame(delta, DELTA)), ws
         )
-        result = run_scenario(spark, w.cfg, Scenario(case, mutate, expected), ws)
         assert result.passed, (case, [tuple(r) for r in result.delta.collect()])
         stats = result.stats
-        assert (stats.changed_edges, stats.added_seeds, stats.removed_seeds) == moves, case
-        assert stats.output_rows == rows, case
-        assert set(w.output()) == w.expected(), case
+        moves = (len(edges ^ edges_now), len(seeds_now - seeds), len(seeds - seeds_now), len(mapped_now))
+        assert (stats.changed_edges, stats.added_seeds, stats.removed_seeds, stats.output_rows) == moves, case
+        assert set(w.output()) == mapped_now, case
 
 
 def test_results_name_the_cause_of_a_failure(spark, ws):
-    w = sample(spark, ws)
+    w = random_world(spark, ws)
     w.refresh()
-    nothing = spark.createDataFrame([], "kind string, REL_ID string, REL_ID_REGIE_KLANT string")
+    nothing = spark.createDataFrame([], DELTA)
 
-    def new_seed(_spark, _cfg):
-        w.add("n1", "z", "Y")
+    def new_root(*_):
+        w.add("fresh", "fresh key", "Y")
         w.save()
 
     none_such = spark.table(f"{w.db}.ggm_np").filter("rel_id = 'nobody'")
     results = run_sequence(spark, w.cfg, [
-        Scenario("needs a row", new_seed, nothing, needs=(none_such,)),
-        Scenario("wrong delta", new_seed, nothing),
-        Scenario("no change", lambda *_: None, nothing),
+        Scenario("lacks a row", new_root, nothing, needs=(none_such,)),
+        Scenario("other delta", new_root, nothing),
+        Scenario("idle", lambda *_: None, nothing),
     ], ws)
     assert [tuple(r) for r in results.collect()] == [
-        ("needs a row", False, 0, 0, "data precondition"),
-        ("wrong delta", False, 1, 0, "logic"),
-        ("no change", True, 0, 0, None),
+        ("lacks a row", False, 0, 0, "data precondition"),
+        ("other delta", False, 1, 0, "logic"),
+        ("idle", True, 0, 0, None),
     ]

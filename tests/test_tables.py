@@ -51,12 +51,37 @@ def test_update_keeps_type_and_rows_with_unknown_condition(spark, db):
 def test_insert_if_absent_is_idempotent(spark, db):
     t = f"{db}.t"
     tables.ensure_table(spark, t, "id bigint, note string")
-    row = spark.createDataFrame([(1, "bootstrap complete")], "id int, note string")
+    row = spark.createDataFrame([(1, "first")], "id int, note string")
     for _ in range(3):
         tables.insert_if_absent(row, t, ["id"])
     assert ids(spark, t) == [1]
 
 
+def test_insert_if_absent_treats_null_keys_as_equal(spark, db):
+    t = f"{db}.t"
+    tables.ensure_table(spark, t, "a bigint, b string, note string")
+    rows = spark.createDataFrame([(None, "x", "2"), (None, "x", "1"), (1, None, None), (None, None, "z")], "a int, b string, note string")
+    for _ in range(3):
+        tables.insert_if_absent(rows, t, ["a", "b"])
+    assert {tuple(r) for r in spark.table(t).collect()} == {(None, "x", "1"), (1, None, None), (None, None, "z")}
+    assert spark.table(t).count() == 3
+
+
+def test_ingest_refuses_two_files_for_one_table(spark, db, tmp_path):
+    for name in ("A-b.csv", "a_b.csv"):
+        (tmp_path / name).write_text("x\ty\n1\t2\n")
+    with pytest.raises(ValueError, match="a_b"):
+        files.ingest_folder(spark, str(tmp_path), db)
+    assert not spark.catalog.tableExists(f"{db}.a_b")
+
+
+@pytest.mark.parametrize("text", ["y\tx\n7\t1\n", "x\ty\n1\tbad\n"])
+def test_read_with_schema_refuses_other_headers_and_bad_values(spark, tmp_path, text):
+    (tmp_path / "t.csv").write_text(text)
+    with pytest.raises(Exception):
+        files.read_delimited(spark, str(tmp_path / "t.csv"), "x string, y int").collect()
+
+
 def test_baseline_reset(spark, db):
     t, state = f"{db}.t", f"{db}.state"
     tables.write_table(numbers(spark, 3), t)
@@ -72,13 +97,13 @@ def test_baseline_reset(spark, db):
 
 def test_ingest_infers_types_and_normalises_names(spark, db, tmp_path):
     (tmp_path / "My Table-1.csv").write_text(
-        "rel_id\tvalid_to\tkey\n1\t9999-12-31 00:00:00.0000000\ta\n2\t2020-03-05 10:51:06.1234567\tb\n"
+        "rel_id\tvalid_to\tkey\n1\t9999-12-31 00:00:00.0000000\ta\n2\t2021-11-11 11:11:11.1234567\tb\n"
     )
     assert files.ingest_folder(spark, str(tmp_path), db) == [f"{db}.my_table_1"]
     df = spark.table(f"{db}.my_table_1")
     assert dict(df.dtypes) == {"rel_id": "int", "valid_to": "timestamp", "key": "string"}
     shown = {r.valid_to for r in files.preview(df, ["rel_id"]).collect()}
-    assert shown == {"9999-12-31 00:00:00", "2020-03-05 10:51:06.123456"}
+    assert shown == {"9999-12-31 00:00:00", "2021-11-11 11:11:11.123456"}
     assert [tuple(r) for r in files.load_report(spark, [f"{db}.my_table_1"]).collect()] == [("my_table_1", 2)]
 
 

@@ -81,7 +81,7 @@ def const_rows(spark, sf_dir):
     source = copy_of(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     return tables.create_as_select(
         spark, f"{source}_marked",
-        f"SELECT 7L AS value, 'created by pyspark' AS origin UNION ALL SELECT c_custkey, c_name FROM {source}",
+        f"SELECT -1L AS value, 'marker row' AS origin UNION ALL SELECT c_custkey, c_name FROM {source}",
     )
 
 
@@ -90,8 +90,8 @@ def insert_values(spark, sf_dir):
     create_tables(spark, sf_dir, db)
     spark.sql(f"""
         INSERT INTO {db}.register (rel_id, valid_from, valid_to, id_key, active_f)
-        VALUES ('130000001', to_timestamp_ntz('2026-05-18 09:00:00'), to_timestamp_ntz('9999-12-31 00:00:00'), 'new-1', 'Y'),
-               ('130000002', to_timestamp_ntz('2026-05-18 09:00:00'), to_timestamp_ntz('9999-12-31 00:00:00'), NULL, 'N')""")
+        VALUES ('new-entity-a', to_timestamp_ntz('2024-02-29 12:30:00'), to_timestamp_ntz('9999-12-31 00:00:00'), 'new-1', 'Y'),
+               ('new-entity-b', to_timestamp_ntz('2024-02-29 12:30:00'), to_timestamp_ntz('9999-12-31 00:00:00'), NULL, 'N')""")
     return spark.table(f"{db}.register").select(
         "rel_id", F.col("valid_to").cast("string").alias("valid_to"), "id_key", "active_f"
     )
@@ -180,10 +180,10 @@ ORACLES = {
     "write_table": "SELECT o_orderkey, o_orderpriority FROM orders",
     "ensure_tables": "SELECT CAST(o_orderkey AS STRING) AS rel_id, o_custkey AS component_id FROM orders",
     "ctas": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus",
-    "const_rows": "SELECT 7 AS value, 'created by pyspark' AS origin UNION ALL SELECT c_custkey, c_name FROM customer",
+    "const_rows": "SELECT -1 AS value, 'marker row' AS origin UNION ALL SELECT c_custkey, c_name FROM customer",
     "insert_values": sql.with_history(NOW, body="""
         SELECT rel_id, CAST(valid_to AS STRING) AS valid_to, id_key, active_f FROM register
-        UNION ALL VALUES ('130000001', '9999-12-31 00:00:00', 'new-1', 'Y'), ('130000002', '9999-12-31 00:00:00', NULL, 'N')"""),
+        UNION ALL VALUES ('new-entity-a', '9999-12-31 00:00:00', 'new-1', 'Y'), ('new-entity-b', '9999-12-31 00:00:00', NULL, 'N')"""),
     "insert_select": sql.with_history(NOW, body="""
         SELECT rel_id, id_key, count(*) AS n FROM (
             SELECT rel_id, id_key FROM link

@@ -22,7 +22,7 @@ from workload import oracles as sql
 from workload.views import NOW, config, create_tables, load, on_spark
 
 OPEN = "TIMESTAMP '9999-12-31 00:00:00'"
-MAY_18 = "TIMESTAMP '2026-05-18 09:00:00'"
+CHANGED_AT = "TIMESTAMP '2024-02-29 12:30:00'"
 
 
 @dataclass(frozen=True)
@@ -38,13 +38,13 @@ class Change:
 
 def register_rows(entity: str, key: str, flag: str, source: str) -> Change:
     return Change("register", rows=f"""
-        SELECT {entity} AS rel_id, {MAY_18} AS valid_from, {OPEN} AS valid_to, {key} AS id_key, '{flag}' AS active_f
+        SELECT {entity} AS rel_id, {CHANGED_AT} AS valid_from, {OPEN} AS valid_to, {key} AS id_key, '{flag}' AS active_f
         FROM {source}""")
 
 
 def link_rows(entity: str, key: str, source: str) -> Change:
     return Change("link", rows=f"""
-        SELECT {entity} AS rel_id, {MAY_18} AS valid_from, {OPEN} AS valid_to, {key} AS id_key, 'N' AS del_f
+        SELECT {entity} AS rel_id, {CHANGED_AT} AS valid_from, {OPEN} AS valid_to, {key} AS id_key, 'N' AS del_f
         FROM {source}""")
 
 
