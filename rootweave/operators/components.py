@@ -193,7 +193,7 @@ def contracted(edges: DataFrame, level: Level) -> DataFrame:
     targets = level.targets()
     for end in ("a", "b"):
         moved = targets.select(F.col("v").alias(end), F.col("target").alias(f"new_{end}"))
-        edges = level.join(edges, moved, end).drop(end)
+        edges = level.join(edges, moved, end)  # the old ends stay, so that equal new ends are spread too
     return (
         edges.filter("new_a <> new_b")
         .select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b"))

@@ -7,46 +7,48 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.workspace import Workspace
+from rootweave.workspace import ROWS_PER_TASK, Workspace
 
 
-# A key is hot when it holds more than one part in HOT_SHARE of all rows, so there
-# can never be more than HOT_SHARE hot keys: a list of them is safe to broadcast.
+# A key is hot when it holds more than one part in HOT_SHARE of all rows, or more rows than a task
+# should have. There are at most HOT_SHARE, or rows / ROWS_PER_TASK, hot keys: a list to broadcast.
 HOT_SHARE = 256
-# Rows of a hot key are spread over this many groups.
+# Rows of a hot key are spread over this many groups, or more if these had more rows than a task should have.
 SALTS = 64
 # Key lists up to this many rows are broadcast outright.
 BROADCAST_ROWS = 500_000
 
 
 def hot_limit(rows: int) -> int:
-    return max(rows // HOT_SHARE, SALTS)
+    return max(min(rows // HOT_SHARE, ROWS_PER_TASK), SALTS)
 
 
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The keys that hold more than their share of the ``rows`` rows of ``df``; mostly none."""
-    return df.groupBy(key).count().filter(F.col("count") > hot_limit(rows)).select(key)
+    """(key, groups) of the keys that hold more than their share of the ``rows`` rows of ``df``; mostly none."""
+    groups = F.greatest(F.lit(SALTS), F.ceil(F.col("count") / ROWS_PER_TASK).cast("int")).alias("_groups")
+    return df.groupBy(key).count().filter(F.col("count") > hot_limit(rows)).select(key, groups)
 
 
 def skew_join(big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """Join ``big`` with ``other`` on ``key``, spreading the hot keys.
 
-    Rows of ``big`` with a hot key are dealt to SALTS groups by a hash of the row,
-    which is the same on every retry; the matching rows of ``other`` are copied to
-    each group. All other keys join as usual. ``how`` is inner, left, left_semi or
+    Rows of ``big`` with a hot key are dealt to groups by a hash of the row, which is
+    the same on every retry; the matching rows of ``other`` are copied to each group.
+    A list without ``_groups`` (see :func:`hot_keys`) means SALTS groups a key. All other keys join as usual. ``how`` is inner, left, left_semi or
     left_anti. The size of ``hot`` is bounded, see :func:`hot_keys`; None says that
     counting has shown that there is no hot key.
     """
     if hot is None:
         return big.join(other, key, how)
-    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    groups = F.col("_groups") if "_groups" in hot.columns else F.lit(SALTS)
+    marks = F.broadcast(hot.select(key, groups.alias("_hot")))
     dealt = big.join(marks, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)),
+        F.when(F.col("_hot") > 0, F.pmod(F.xxhash64(*big.columns), F.col("_hot")).cast("int")).otherwise(F.lit(0)),
     )
     copied = other.join(marks, key, "left").withColumn(
         "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
+        F.explode(F.sequence(F.lit(0), F.coalesce("_hot", F.lit(1)) - 1)),
     )
     return dealt.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how).drop("_salt")
 
