@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +29,23 @@ def small_batches(spark: SparkSession) -> None:
     """Lower the session's rows per Arrow batch: documents are long, and a batch exists several times in memory."""
     if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
+# Bytes and rows of a batch that goes to Python, whatever the session says otherwise.
+BATCH_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), BATCH_SETTING: "10000"}
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound the bytes of Arrow batches for what runs inside; the session's settings return afterwards."""
+    before = {name: spark.conf.get(name, None) for name in BATCH_BYTES}
+    for name, value in BATCH_BYTES.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

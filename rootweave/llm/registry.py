@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, embeddings, jaccard, licences, linedup, mixing, rules, secrets, shards, toxicity
+from rootweave.llm import bpe, embeddings, jaccard, licences, linedup, mixing, resampling, rules, secrets, shards, toxicity
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -230,3 +230,53 @@ def _licence_sql() -> str:
 
 
 ORACLES["op9_licences"] = _licence_sql()
+
+
+@query
+def op11_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), Workspace(spark))
+
+
+# The checksum of a word, byte by byte; no engine function has it.
+ORACLES["op11_resampling"] = r"""
+WITH RECURSIVE step AS (
+  SELECT i, i AS v, 0 AS k FROM (SELECT unnest(range(0, 256)) AS i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
+),
+crc AS (SELECT list(v ORDER BY i) AS m FROM step WHERE k = 8),
+texts AS (
+  SELECT doc_id, true AS own, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT NULL, false, coalesce(text, '') FROM benchmark
+),
+lowered AS (SELECT doc_id, own, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM texts),
+words AS (SELECT doc_id, own, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM lowered),
+each AS (SELECT doc_id, own, unnest(ws) AS w FROM words),
+counted AS (SELECT doc_id, own, w, count(*) AS n FROM each GROUP BY ALL),
+hashed AS (
+  SELECT w, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, m[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM counted), crc
+),
+features AS (SELECT doc_id, own, bucket, n FROM counted JOIN hashed USING (w)),
+shares AS (
+  SELECT bucket, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS t FROM features GROUP BY bucket
+),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM shares),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM shares, totals),
+weights AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM features JOIN gain USING (bucket) WHERE own GROUP BY doc_id
+),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents d LEFT JOIN weights USING (doc_id)
+),
+ranked AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+    10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS k FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank FROM ranked
+"""
