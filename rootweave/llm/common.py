@@ -31,15 +31,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
-# Bytes and rows of a batch that goes to Python, whatever the session says otherwise.
-BATCH_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), BATCH_SETTING: "10000"}
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession) -> Iterator[None]:
-    """Bound the bytes of Arrow batches for what runs inside; the session's settings return afterwards."""
-    before = {name: spark.conf.get(name, None) for name in BATCH_BYTES}
-    for name, value in BATCH_BYTES.items():
+def arrow_batches(spark: SparkSession, rows: int = 10_000) -> Iterator[None]:
+    """Bound bytes and rows of the Arrow batches of what runs inside; the session's settings return afterwards."""
+    wanted = {BYTES_SETTING: str(BATCH_BYTES), BATCH_SETTING: str(rows)}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield

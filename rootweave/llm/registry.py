@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm import bpe, embeddings, jaccard, licences, linedup, mixing, resampling, rules, secrets, shards, toxicity
+from rootweave.llm import bpe, embeddings, jaccard, licences, linedup, mixing, resampling, rules, secrets, shards, topk, toxicity, whitening
 from rootweave.llm.common import table
 from rootweave.workspace import Workspace
 
@@ -280,3 +280,29 @@ ranked AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank FROM ranked
 """
+
+
+@query
+def op13_top_k(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), Workspace(spark), F.col("_id") % 100 == 0)
+
+
+ORACLES["op13_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * v.x[i]))::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), Workspace(spark)).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
