@@ -34,14 +34,13 @@ from pyspark.sql import functions as F
 from rootweave.llm.common import small_batches
 
 # Entries kept per Python worker before a cache starts anew; results do not depend on them.
-MEMO = 80_000
+MEMO = 160_000
 PAIRS = 200_000
 END = 1 << 40  # later than every rank
 
 # In these characters the standard library's classes agree with Unicode's; others take the slow path.
 _UNUSUAL = re.compile("[^\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-ɏ]")
-# A blank that touches other white space or ends the text: pieces may then span blanks.
-_BLANKS = re.compile(r" \s|\s | \Z")
+_CONTROL = re.compile("[\x1c-\x1f]")
 
 
 def read_ranks(spark: SparkSession, path: str) -> bytes:
@@ -76,12 +75,15 @@ class Transducer:
                 node = self.children.get(key) or self.children.setdefault(key, nodes)
                 nodes = max(nodes, node + 1)
             self.whole[node] = rank, len(token)
-        self.apart: dict[int, bool] = {}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        # By token, whether it stays apart from the token on its left.
+        self.apart: dict[int, dict[int, bool]] = {}
+        self.pairs = 0
         self.edge: dict[int, tuple[list, list]] = {}
         # A state is the set of started tokens, longest first; its output the tokens that end there.
         self.states: list[tuple[int, ...]] = [(self.ROOT,)]
         self.number = {self.states[0]: 0}
-        self.ending: list[list[tuple[int, int]]] = [[]]
+        self.ending: list[list[tuple[int, int, dict[int, bool]]]] = [[]]
         self.moves: dict[int, int] = {}
 
     def merge(self, piece: bytes, until: int = 1) -> list[bytes]:
@@ -114,8 +116,11 @@ class Transducer:
         It does not if two parts that touch each other at some time merge before either grows
         otherwise; of equal ranks the leftmost merges first.
         """
-        if len(self.apart) >= PAIRS:
-            self.apart.clear()
+        self.pairs += 1
+        if self.pairs > PAIRS:
+            for known in self.apart.values():
+                known.clear()
+            self.pairs = 1
         rank = self.ranks.get
         known = True
         for a, a_end in self.edges(left)[1]:
@@ -123,7 +128,7 @@ class Transducer:
                 merged = rank(a + b)
                 if merged is not None and merged < a_end and merged <= b_end:
                     known = False
-        self.apart[left << 32 | right] = known
+        self.apart.setdefault(right, {})[left] = known
         return known
 
     def step(self, key: int) -> int:
@@ -137,7 +142,9 @@ class Transducer:
             self.states.append(subset)
             # A token that its own merges do not produce can never be the result of an encoding.
             ending = [self.whole[node] for node in subset if node in self.whole]
-            self.ending.append([(t, n) for t, n in ending if n == 1 or self.merge(self.tokens[t]) == [self.tokens[t]]])
+            self.ending.append([
+                (t, n, self.apart.setdefault(t, {})) for t, n in ending if n == 1 or self.merge(self.tokens[t]) == [self.tokens[t]]
+            ])
         self.moves[key] = number
         return number
 
@@ -145,55 +152,77 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        moves, ending, apart = self.moves, self.ending, self.apart
+        if len(piece) > 8 * self.lookahead:
+            return self.encode_long(piece)
+        moves, ending = self.moves, self.ending
+        tokens: list[int] = []  # the last token of each prefix
+        state = read = 0
+        for byte in piece:
+            key = state << 8 | byte
+            state = moves.get(key)
+            if state is None:
+                state = self.step(key)
+            for token, size, apart in ending[state]:
+                if size > read:  # starts the piece
+                    break
+                fits = apart.get(left := tokens[read - size])
+                if fits is None:
+                    fits = self.stays_apart(left, token)
+                if fits:
+                    break
+            tokens.append(token)
+            read += 1
+        return self.history(tokens, read)
+
+    def encode_long(self, piece: bytes) -> list[int]:
+        """Like :meth:`encode`, but emits what is certain while the piece is being read."""
+        moves, ending = self.moves, self.ending
         out: list[int] = []
         tokens: list[int] = []  # the last token of each prefix since the last emission
-        sizes: list[int] = []
         state, before = 0, -1
         for byte in piece:
             key = state << 8 | byte
             state = moves.get(key)
             if state is None:
                 state = self.step(key)
-            for token, size in ending[state]:
+            for token, size, apart in ending[state]:
                 at = len(tokens) - size
                 left = tokens[at] if at >= 0 else before if at == -1 else None
                 if left is None:  # would start before what is emitted
                     continue
                 if left >= 0:
-                    fits = apart.get(left << 32 | token)
+                    fits = apart.get(left)
                     if fits is None:
                         fits = self.stays_apart(left, token)
                     if not fits:
                         continue
                 tokens.append(token)
-                sizes.append(size)
                 break
             if len(tokens) >= 8 * self.lookahead:
-                before = self.emit(tokens, sizes, out, before)
-        return out + self.history(tokens, sizes, len(tokens))
+                before = self.emit(tokens, out, before)
+        return out + self.history(tokens, len(tokens))
 
-    @staticmethod
-    def history(tokens: list[int], sizes: list[int], end: int) -> list[int]:
-        found = []
+    def history(self, tokens: list[int], end: int) -> list[int]:
+        found, sizes = [], self.sizes
         while end > 0:
-            found.append(tokens[end - 1])
-            end -= sizes[end - 1]
+            token = tokens[end - 1]
+            found.append(token)
+            end -= sizes[token]
         return found[::-1]
 
-    def emit(self, tokens: list[int], sizes: list[int], out: list[int], before: int) -> int:
+    def emit(self, tokens: list[int], out: list[int], before: int) -> int:
         """Move what all histories of the last ``lookahead`` starts share from ``tokens`` to ``out``."""
         ends = set(range(len(tokens) - self.lookahead, len(tokens) + 1))
         while len(ends) > 1:
             end = max(ends)
             ends.remove(end)
-            ends.add(end - sizes[end - 1])
+            ends.add(end - self.sizes[tokens[end - 1]])
         (end,) = ends
         if end:
-            certain = self.history(tokens, sizes, end)
+            certain = self.history(tokens, end)
             out += certain
             before = certain[-1]
-            del tokens[:end], sizes[:end]
+            del tokens[:end]
         return before
 
 
@@ -224,21 +253,17 @@ class Encoder:
 
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
+        # The same pattern for the faster engine of the standard library, if it can be written for it.
+        usual = pattern.replace(r"\p{L}", r"[^\W\d_]").replace(r"[^\s[^\W\d_]\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{N}", r"\d")
+        self.split_usual = None if r"\p" in usual else re.compile(usual).findall
         self.pieces = _Memo(self.piece)
-        self.words = _Memo(lambda word: self.chunk(" " + word))
 
     def piece(self, text: str) -> bytes:
         return array("I", self.transducer.encode(text.encode())).tobytes()
 
-    def chunk(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
-
     def encode(self, text: str) -> bytes:
-        # A blank between two other characters always starts a piece, so that words can be looked up as a whole.
-        if _BLANKS.search(text) or _UNUSUAL.search(text):
-            return b"".join(map(self.pieces.__getitem__, self.split(text)))
-        first, *words = text.split(" ")
-        return self.chunk(first) + b"".join(map(self.words.__getitem__, words))
+        plain = self.split_usual and (text.isascii() and not _CONTROL.search(text) or not _UNUSUAL.search(text))
+        return b"".join(map(self.pieces.__getitem__, (self.split_usual if plain else self.split)(text)))
 
 
 class Utf8Stream:
@@ -299,8 +324,7 @@ class Decoder:
 
     def decode(self, ids: bytes) -> str:
         numbers = array("I", ids)
-        texts = self.texts
-        parts = [texts[i] for i in numbers]
+        parts = list(map(self.texts.__getitem__, numbers))
         if None not in parts:
             return "".join(parts)
         stream, out = Utf8Stream(), []

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from rootweave.llm.common import small_batches
 from rootweave.llm.graph import components
-from rootweave.operators.skew import semi_join, stage_keys
+from rootweave.operators.skew import anti_join, semi_join, stage_keys
 from rootweave.workspace import Workspace
 
 MEMO = 200_000
@@ -140,35 +140,44 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
 
 
-_SETS = "_id long, n long, sketch array<long>, digest binary, tokens array<struct<upper: boolean, least: int, tokens: array<long>>>"
-
-
-def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """One row per document with its set's size, digest and tokens by class."""
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """One row per document with its set's size, sketch and digest."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, classes = Shingles(size), SizeClasses(percent)
-        kind = pa.list_(pa.struct([("upper", pa.bool_()), ("least", pa.int32()), ("tokens", pa.list_(pa.int64()))]))
+        shingles = Shingles(size)
         for batch in batches:
-            n, sketches, digest, tokens = [], [], [], []
+            n, sketches, digest = [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingles.of(text or "")
                 n.append(len(hashes))
                 sketches.append(sketch(hashes))
                 digest.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                tokens.append([
-                    {"upper": i > 0, "least": least, "tokens": found.view(np.int64)}
-                    for i, (least, found) in enumerate(classes.tokens(hashes) if len(hashes) else [])
-                ])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-                    pa.array(digest, pa.binary()), pa.array(tokens, kind),
-                ],
-                names=["_id", "n", "sketch", "digest", "tokens"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(digest, pa.binary())],
+                names=["_id", "n", "sketch", "digest"],
             )
 
-    return docs.mapInArrow(rows, _SETS)
+    return docs.mapInArrow(rows, "_id long, n long, sketch array<long>, digest binary")
+
+
+def _tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(_id, side, token) of every set: ``side`` is twice the number of tokens that a partner must share, plus one
+    for the tokens of the next class. They are derived from the texts when needed and never kept."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, classes = Shingles(size), SizeClasses(percent)
+        for batch in batches:
+            ids, sides, tokens = [], [], []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = shingles.of(text.as_py() or "")
+                for i, (least, found) in enumerate(classes.tokens(hashes) if len(hashes) else []):
+                    ids.append(np.full(len(found), row))
+                    sides.append(np.full(len(found), 2 * least + i, np.int32))
+                    tokens.append(found.view(np.int64))
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ids, sides, tokens)], names=["_id", "side", "token"])
+
+    return docs.mapInArrow(rows, "_id long, side int, token long")
 
 
 def _hashes(docs: DataFrame, size: int) -> DataFrame:
@@ -215,20 +224,27 @@ def _linked(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(_similar(percent)).select("a", "b")
 
 
-def _rare(sets: DataFrame, reps: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+def _copies(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """Ids whose sets all have another representative."""
+    return sets.filter("n > 0 AND _id IS NOT NULL").select("_id").join(reps.select(F.col("rep").alias("_id")), "_id", "left_anti")
+
+
+def _rare(tokens: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     """(shared, rare): the tokens that several sets have, and of each set the rarest of these.
 
-    ``shared(token, _id, upper, least)`` is only kept for sets that share as many as a partner must.
+    ``shared(token, _id, side)`` is only kept for sets that share as many as a partner must. Most tokens occur
+    once. They are dealt by token a single time: counts and the join with the counts read the same shuffle, which
+    needs the same columns and filters on both sides, and that is why the counts look at the sides.
     """
-    own = sets.join(reps.select(F.col("rep").alias("_id")).hint("shuffle_hash"), "_id", "left_semi")
-    tokens = own.select("_id", F.inline("tokens")).select("_id", "upper", "least", F.explode("tokens").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    lists = tokens.join(counts.hint("shuffle_hash"), "token").groupBy("_id", "upper", "least").agg(
+    dealt = tokens.filter("token IS NOT NULL AND side IS NOT NULL").repartition("token")
+    counts = dealt.groupBy("token").agg(F.count("_id").alias("sets"), F.min("side").alias("least")).filter("sets > 1 AND least > 0")
+    least = F.shiftright("side", 1)
+    lists = dealt.join(counts.select("token", "sets").hint("shuffle_hash"), "token").groupBy("_id", "side").agg(
         F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("found")
-    ).filter(F.size("found") >= F.col("least"))
+    ).filter(F.size("found") >= least)
     lists = ws.stage(lists, "shared")
-    shared = lists.select("_id", "upper", "least", F.explode("found.token").alias("token"))
-    first = F.slice("found", F.lit(1), F.size("found") - F.col("least") + 1)
+    shared = lists.select("_id", "side", F.explode("found.token").alias("token"))
+    first = F.slice("found", F.lit(1), F.size("found") - least + 1)
     rare = lists.select("_id", F.explode(first).alias("found")).select("_id", "found.token", "found.sets")
     return shared, ws.stage(rare, "rare")
 
@@ -243,9 +259,12 @@ def jaccard_components(
     """
     small_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    sets = ws.stage(_sets(plain, size, percent), "sets")
+    sets = ws.stage(_sets(plain, size), "sets")
     reps = ws.stage(sets.filter("n > 0 AND _id IS NOT NULL").groupBy("digest").agg(F.min("_id").alias("rep")), "reps")
-    shared, rare = _rare(sets, reps, ws)
+    # All rows but one of each set; texts move only if these are very many.
+    copies = stage_keys(_copies(sets, reps), ws, "copies")
+    own = anti_join(plain.filter("_id IS NOT NULL"), copies, "_id").select("_id", "_text")
+    shared, rare = _rare(_tokens(own, size, percent), ws)
 
     ids = stage_keys(rare.select("_id"), ws, "ids")
     hashes = ws.stage(_hashes(semi_join(plain, ids, "_id"), size), "hashes")
@@ -290,6 +309,6 @@ def _qualify(near: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
     groups = shared.join(roots.withColumnRenamed("v", "_id"), "_id", "left").select("token", F.coalesce("root", "_id").alias("other"))
     unions = groups.join(near.select("other").distinct(), "other", "left_semi").distinct()
     asked = near.join(shared, "_id")
-    return asked.join(unions, ["token", "other"]).groupBy("_id", "other", "upper", "least").count().filter(
-        "count >= least"
+    return asked.join(unions, ["token", "other"]).groupBy("_id", "other", "side").count().filter(
+        F.col("count") >= F.shiftright("side", 1)
     ).select("_id", "other").distinct()
