@@ -16,8 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.operators.skew import hot_keys, hot_limit, skew_join
-from rootweave.workspace import Workspace
+from rootweave.operators.skew import hot_keys, hot_limit, salt_groups, skew_join
+from rootweave.sources.fs import Folder
+from rootweave.workspace import Workspace, count_while_writing
 
 
 # Rounds without fewer edges after which the contraction is given up; each round should have fewer.
@@ -72,7 +73,8 @@ def connected_components(
 
 def label(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, dict, int]:
     """Labels of ``pairs(rel_id, id_key, v)``, what was counted, and the rounds it took."""
-    levels = contract(*star_edges(pairs, rows, ws), ws)
+    edges, seen = star_edges(pairs, rows, ws)
+    levels = contract(edges, seen["rows"], ws, Rounds(ws, seen) if ws.name else None)
     names = pairs.select("v", "rel_id").distinct().groupBy("v").agg(
         F.min("rel_id").alias("rel_id"), F.max("rel_id").alias("last")
     )
@@ -106,8 +108,8 @@ def number_apart(pairs: DataFrame, ws: Workspace, entity_hash) -> DataFrame:
         )
 
 
-def star_edges(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, int]:
-    """Replace the entities on each identifier by links to the smallest of them.
+def star_edges(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, dict]:
+    """Replace the entities on each identifier by links to the smallest of them; the edges, and what was counted.
 
     An identifier with n entities gives n - 1 edges (a, b); one with a single entity
     gives none and does not take part in the join.
@@ -118,15 +120,15 @@ def star_edges(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, i
         .agg(F.min("v").alias("centre"), F.max("v").alias("top"), F.count(F.lit(1)).alias("n"))
         .filter("centre < top")
     )
-    hubs = centres.filter(F.col("n") > hot_limit(rows)).select("id_key")
+    hubs = centres.filter(F.col("n") > hot_limit(rows)).select("id_key", salt_groups("n"))
     spokes = (
         skew_join(keyed, centres.select("id_key", "centre"), "id_key", hubs)
         .filter("v <> centre")
         .select(F.col("centre").alias("a"), F.col("v").alias("b"))
         .distinct()
     )
-    edges, counted = ws.stage_counted(spokes, "edges")
-    return edges, counted["rows"]
+    h = F.xxhash64("a", "b")
+    return ws.stage_counted(spokes, "edges", low=F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), high=F.sum(F.shiftright(h, 32)))
 
 
 @dataclass(frozen=True)
@@ -141,7 +143,7 @@ class Level:
     hot: DataFrame | None
 
     def join(self, big: DataFrame, other: DataFrame, key: str, how: str = "inner") -> DataFrame:
-        hot = None if self.hot is None else self.hot.select(F.col("v").alias(key))
+        hot = None if self.hot is None else self.hot.withColumnRenamed("v", key)
         return skew_join(big, other, key, hot, how)
 
     def targets(self) -> DataFrame:
@@ -150,10 +152,43 @@ class Level:
         return self.join(self.links, onward, "parent").select("v", "target")
 
 
-def contract(edges: DataFrame, rows: int, ws: Workspace) -> list[Level]:
-    """Contract ``edges(a, b)`` until none is left; one level per round."""
-    levels = []
+class Rounds:
+    """The finished rounds of a contraction, listed in small files of a named workspace.
+
+    A run that is cut short leaves them; the next run on the same edges goes on after the last one. Whether the edges
+    are the same is told by their number and the sums of their hashes.
+    """
+
+    def __init__(self, ws: Workspace, seen: dict):
+        self.ws = ws
+        self.start = [seen["rows"], seen["low"], seen["high"]]
+        self.folder = Folder(ws.spark, f"{ws.base}/rounds")
+        self.folder.make()
+
+    def finished(self) -> list[dict]:
+        found = [self.folder.load(name) for name in self.folder.names("round-*.json")]
+        return found if all(entry["start"] == self.start for entry in found) else []
+
+    def add(self, number: int, **entry) -> None:
+        if number == 0:
+            for name in self.folder.names("round-*.json"):
+                self.folder.delete(name)
+        self.folder.save(f"round-{number:04d}.json", {"start": self.start, **entry})
+
+
+LINKS = "v bigint, parent bigint, degree bigint"
+EDGES = "a bigint, b bigint"
+
+
+def contract(edges: DataFrame, rows: int, ws: Workspace, rounds: Rounds | None = None) -> list[Level]:
+    """Contract ``edges(a, b)`` until none is left; one level per round. ``rounds`` lists those done before."""
+    levels: list[Level] = []
     fewest, stalled = rows, 0
+    read = ws.spark.read
+    for done in rounds.finished() if rounds else []:
+        links = read.schema(LINKS).parquet(done["links"])
+        levels.append(_level(links, done["from"], done["hot"]))
+        edges, rows, fewest, stalled = read.schema(EDGES).parquet(done["edges"]), done["rows"], done["fewest"], done["stalled"]
     while rows:
         if stalled == PATIENCE:
             raise NotConverged(f"still {rows} edges after {PATIENCE} rounds without progress")
@@ -161,18 +196,29 @@ def contract(edges: DataFrame, rows: int, ws: Workspace) -> list[Level]:
         # Each order serves two rounds: the first gathers stars around its local minima
         # and the second absorbs them.
         turn = 17 * (len(levels) // 2) % 64
-        # All degrees add up to twice the edges, which bounds the list of hot vertices.
-        busy = F.col("degree") > hot_limit(rows)
-        links, seen = ws.stage_counted(pointers(edges, turn), "links", hot=F.count_if(busy))
-        level = Level(links.select("v", "parent"), links.filter(busy).select("v") if seen["hot"] else None)
+        started = rows
+        links_path, edges_path = ws.new_path("links"), ws.new_path("edges")
+        counted, seen = count_while_writing(pointers(edges, turn), hot=F.count_if(F.col("degree") > hot_limit(rows)))
+        counted.write.parquet(links_path)
+        hot = seen.get["hot"]
+        level = _level(read.schema(LINKS).parquet(links_path), started, hot)
         levels.append(level)
-        edges, counted = ws.stage_counted(contracted(edges, level), "edges")
-        rows = counted["rows"]
+        counted, seen = count_while_writing(contracted(edges, level))
+        counted.write.parquet(edges_path)
+        edges, rows = read.schema(EDGES).parquet(edges_path), seen.get["rows"]
         stalled = 0 if rows < fewest else stalled + 1
         fewest = min(fewest, rows)
+        if rounds:
+            rounds.add(len(levels) - 1, links=links_path, edges=edges_path, rows=rows, hot=hot, fewest=fewest, stalled=stalled, **{"from": started})
     return levels
 
 
+def _level(links: DataFrame, rows: int, hot: int) -> Level:
+    # All degrees add up to twice the edges, which bounds the list of hot vertices.
+    busy = links.filter(F.col("degree") > hot_limit(rows)).select("v", salt_groups("degree"))
+    return Level(links.select("v", "parent"), busy if hot else None)
+
+
 def pointers(edges: DataFrame, turn: int) -> DataFrame:
     """(v, parent, degree): the smallest of each vertex and its neighbours in the turned order."""
     ends = edges.select(

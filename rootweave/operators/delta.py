@@ -38,13 +38,30 @@ def pair_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     return changed(presence(before, after))
 
 
+# Copies that one row is repeated into at a time.
+REPEAT = 10_000
+
+
+def signed_multiplicity(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Distinct rows with ``copies``, how many more of them ``after`` has than ``before``; equal numbers are left out.
+
+    Each side is read once. Rows are summed up before they are shuffled, so a row that is there very often moves once a task.
+    """
+    columns = before.columns
+    marked = before.select(*columns, F.lit(-1).cast("bigint").alias("copies")).unionByName(
+        after.select(*columns, F.lit(1).cast("bigint").alias("copies"))
+    )
+    return marked.groupBy(*columns).agg(F.sum("copies").alias("copies")).filter("copies <> 0")
+
+
 def bag_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     """(kind, ...) rows with multiplicity, as ``exceptAll`` in both directions."""
-    return (
-        after.exceptAll(before)
-        .select(F.lit(INSERTED).alias("kind"), *after.columns)
-        .unionByName(before.exceptAll(after).select(F.lit(REMOVED).alias("kind"), *after.columns))
-    )
+    signed = signed_multiplicity(before, after)
+    n = F.abs("copies")
+    # In two steps, so that no array is long.
+    parts = signed.withColumn("_left", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(REPEAT).cast("bigint"))))
+    rows = parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(n - F.col("_left"), F.lit(REPEAT)))))
+    return rows.select(F.when(F.col("copies") > 0, INSERTED).otherwise(REMOVED).alias("kind"), *before.columns)
 
 
 def edge_delta(before: DataFrame, after: DataFrame) -> DataFrame:

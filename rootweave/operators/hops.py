@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.operators.skew import skew_join
+from rootweave.operators.skew import hot_keys, skew_join
+from rootweave.workspace import Workspace
 
 
 def start_frontier(seeds: DataFrame) -> DataFrame:
@@ -32,17 +33,62 @@ def key_to_entity(frontier: DataFrame, edges: DataFrame, hot: DataFrame | None =
     return skew_join(edges.select("rel_id", "id_key"), frontier, "id_key", hot).select(*kept, "rel_id").distinct()
 
 
-def one_step_membership(seeds: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def one_step_membership(
+    seeds: DataFrame, edges: DataFrame, by_entity: DataFrame | None = None, by_key: DataFrame | None = None
+) -> DataFrame:
     """(rel_id, root_id): the smallest seed at most one identifier away.
 
     Each identifier is reduced to its smallest seed before it meets its entities, so
-    the rows in between never outnumber the edges.
+    the rows in between never outnumber the edges. ``by_entity`` and ``by_key`` list hot entities and identifiers.
     """
-    best = entity_to_key(start_frontier(seeds), edges).groupBy("id_key").agg(F.min("seed_rel_id").alias("root_id"))
-    reached = skew_join(edges.select("rel_id", "id_key"), best, "id_key", hot)
+    best = entity_to_key(start_frontier(seeds), edges, by_entity).groupBy("id_key").agg(F.min("seed_rel_id").alias("root_id"))
+    reached = skew_join(edges.select("rel_id", "id_key"), best, "id_key", by_key)
     return reached.groupBy("rel_id").agg(F.min("root_id").alias("root_id"))
 
 
+def hot_edge_keys(edges: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged edges with their hot entities and hot identifiers."""
+    edges, counted = ws.stage_counted(edges, "edges")
+    return edges, hot_keys(edges, "rel_id", counted["rows"]), hot_keys(edges, "id_key", counted["rows"])
+
+
+# Numbers that one bitmap of Spark's bitmap functions holds.
+BITS = 32_768
+
+
+def key_bitmaps(numbered: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(id_key, slot, seeds): the seeds on each identifier as bitmaps of their numbers, from ``numbered(seed_rel_id, v)``.
+
+    Numbers count from 1. An identifier has one row for each 32,768 numbers among which it has a seed, so there are never
+    more rows than edges of seeds.
+    """
+    found = skew_join(edges.select("rel_id", "id_key"), numbered.select(F.col("seed_rel_id").alias("rel_id"), "v"), "rel_id", hot)
+    return found.groupBy("id_key", F.bitmap_bucket_number("v").alias("slot")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("seeds")
+    )
+
+
+def entity_bitmaps(keys: DataFrame, edges: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(rel_id, slot, seeds): the seeds at most one identifier away from each entity; no row is a pair."""
+    reached = skew_join(edges.select("rel_id", "id_key"), keys, "id_key", hot)
+    return reached.groupBy("rel_id", "slot").agg(F.bitmap_or_agg("seeds").alias("seeds"))
+
+
+def count_seeds(bitmaps: DataFrame) -> DataFrame:
+    """(rel_id, n_seeds), counted in the bitmaps."""
+    return bitmaps.groupBy("rel_id").agg(F.sum(F.bitmap_count("seeds")).alias("n_seeds"))
+
+
+def listed_seeds(bitmaps: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(seed_rel_id, rel_id): the pairs that the bitmaps stand for, written out."""
+    used = F.filter(F.sequence(F.lit(1), F.octet_length("seeds")), lambda i: F.substring(F.col("seeds"), i, F.lit(1)) != F.lit(b"\0"))
+    byte = F.conv(F.hex(F.substring(F.col("seeds"), F.col("at"), F.lit(1))), 16, 10).cast("int")
+    bytes_ = bitmaps.withColumn("at", F.explode(used)).withColumn("byte", byte)
+    bits = bytes_.withColumn("bit", F.explode(F.expr("filter(sequence(0, 7), j -> (shiftright(byte, j) & 1) = 1)")))
+    number = (F.col("slot") - 1) * BITS + (F.col("at") - 1) * 8 + F.col("bit") + 1
+    return bits.select("rel_id", number.alias("v")).join(numbered, "v").select("seed_rel_id", "rel_id")
+
+
 def only_new(candidates: DataFrame, visited: DataFrame) -> DataFrame:
     """Candidates that were not visited yet, compared on all their columns."""
     return candidates.join(visited, candidates.columns, "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +37,50 @@ def assign_roots(found: Components, seeds: DataFrame) -> DataFrame:
     return skew_join(found.labels, winners, "component_id", found.hot).select("rel_id", "root_id")
 
 
-def closure_pairs(found: Components, seeds: DataFrame) -> DataFrame:
-    """(seed_rel_id, rel_id) for everything each seed reaches, itself included.
+@dataclass(frozen=True)
+class Closure:
+    """Everything each seed reaches, kept as two short relations instead of all pairs.
 
-    The size of this result is seeds times members per component. The mapping does
-    not need it; it is there for those who want to see every route to a root.
+    ``seeds(component_id, seed_rel_id)`` has one row per seed, ``members(component_id, rel_id)`` one per entity; a seed
+    reaches the members of its component. Together they are as long as seeds and entities, while the pairs
+    are as many as seeds times members. ``hot`` lists the components with very many members.
     """
-    return skew_join(found.labels, seeded_components(found, seeds), "component_id", found.hot).select(
-        "seed_rel_id", "rel_id"
-    )
+
+    seeds: DataFrame
+    members: DataFrame
+    hot: DataFrame
+
+    def sizes(self) -> DataFrame:
+        """(component_id, n_seeds, n_members, n_pairs)."""
+        seeds = self.seeds.groupBy("component_id").agg(F.count(F.lit(1)).alias("n_seeds"))
+        members = self.members.groupBy("component_id").agg(F.count(F.lit(1)).alias("n_members"))
+        return seeds.join(members, "component_id").withColumn("n_pairs", F.col("n_seeds") * F.col("n_members"))
+
+    def reached(self) -> DataFrame:
+        """(seed_rel_id, n_reached): how many entities each seed reaches, itself included."""
+        return skew_join(self.seeds, self.sizes().select("component_id", "n_members"), "component_id", self.hot).select(
+            "seed_rel_id", F.col("n_members").alias("n_reached")
+        )
+
+    def holds(self, pairs: DataFrame) -> DataFrame:
+        """``pairs(seed_rel_id, rel_id)`` with ``reached``, whether the seed reaches the entity; no other pair is made."""
+        of_seed = self.seeds.select("seed_rel_id", F.col("component_id").alias("_from"))
+        of_entity = self.members.select("rel_id", F.col("component_id").alias("_to"))
+        found = pairs.join(of_seed, "seed_rel_id", "left").join(of_entity, "rel_id", "left")
+        return found.select(*pairs.columns, F.coalesce(F.col("_from") == F.col("_to"), F.lit(False)).alias("reached"))
+
+    def pairs(self) -> DataFrame:
+        """(seed_rel_id, rel_id), written out: seeds times members of each component."""
+        return skew_join(self.members, self.seeds, "component_id", self.hot).select("seed_rel_id", "rel_id")
+
+
+def closure(found: Components, seeds: DataFrame) -> Closure:
+    return Closure(seeded_components(found, seeds), found.labels.select("component_id", "rel_id"), found.hot)
+
+
+def closure_pairs(found: Components, seeds: DataFrame) -> DataFrame:
+    """(seed_rel_id, rel_id) for everything each seed reaches, itself included; see :class:`Closure`."""
+    return closure(found, seeds).pairs()
 
 
 def expand_component(found: Components, start: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootweave.workspace import ROWS_PER_TASK, Workspace
@@ -23,10 +23,14 @@ def hot_limit(rows: int) -> int:
     return max(min(rows // HOT_SHARE, ROWS_PER_TASK), SALTS)
 
 
+def salt_groups(count: str) -> Column:
+    """``_groups``: over how many groups a key with ``count`` rows is spread."""
+    return F.greatest(F.lit(SALTS), F.ceil(F.col(count) / ROWS_PER_TASK).cast("int")).alias("_groups")
+
+
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
     """(key, groups) of the keys that hold more than their share of the ``rows`` rows of ``df``; mostly none."""
-    groups = F.greatest(F.lit(SALTS), F.ceil(F.col("count") / ROWS_PER_TASK).cast("int")).alias("_groups")
-    return df.groupBy(key).count().filter(F.col("count") > hot_limit(rows)).select(key, groups)
+    return df.groupBy(key).count().filter(F.col("count") > hot_limit(rows)).select(key, salt_groups("count"))
 
 
 def skew_join(big: DataFrame, other: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:

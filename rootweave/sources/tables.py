@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rootweave.sources.fs import Folder
 from rootweave.workspace import count_while_writing
 
 STAGING = "__staging"
@@ -21,11 +24,12 @@ def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
-def ensure_table(spark: SparkSession, table: str, schema: StructType | str) -> None:
-    """Create an empty Parquet table with the given columns unless it exists."""
+def ensure_table(spark: SparkSession, table: str, schema: StructType | str, partition: str | None = None) -> None:
+    """Create an empty Parquet table with the given columns, one of which may partition it, unless it exists."""
     if isinstance(schema, StructType):
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING PARQUET")
+    by = f" PARTITIONED BY (`{partition}`)" if partition else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING PARQUET{by}")
 
 
 def create_as_select(spark: SparkSession, table: str, query: str) -> DataFrame:
@@ -68,6 +72,13 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}").select(F.col("tableName").alias("table_name"))
 
 
+def use_database(spark: SparkSession, database: str) -> str:
+    """Make a database the current one; the name of the one before."""
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"USE {database}")
+    return before
+
+
 def swap_replace(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace all rows of a table, possibly by rows computed from it.
 
@@ -110,14 +121,56 @@ def swap_transform(spark: SparkSession, table: str, transform: Callable[[DataFra
     swap_replace(spark, table, spark.table(table).transform(transform))
 
 
-def update_where(spark: SparkSession, table: str, column: str, condition: Column, value: Column) -> None:
-    """UPDATE ... SET column = value WHERE condition. Rows with a NULL condition stay."""
-    kind = spark.table(table).schema[column].dataType
-    swap_transform(
-        spark,
-        table,
-        lambda df: df.withColumn(column, F.when(condition, value.cast(kind)).otherwise(F.col(column))),
-    )
+UPDATING = "_update.json"
+UPDATED = "_updated"
+
+
+def update_where(spark: SparkSession, table: str, column: str, condition: Column, value: Column) -> int:
+    """UPDATE ... SET column = value WHERE condition. Rows with a NULL condition stay.
+
+    Only files that hold a row to change are rewritten, the others are not touched; returns how many were. The new
+    files are complete before a small file announces the exchange; if it is cut short, :func:`recover_update` completes
+    it. Partitioned tables are replaced as a whole.
+    """
+    recover_update(spark, table)
+    changed = lambda df: df.withColumn(column, F.when(condition, value.cast(df.schema[column].dataType)).otherwise(F.col(column)))
+    df = spark.table(table)
+    hit = df.filter(condition).select("_metadata.file_path").distinct()
+    files = [row[0] for row in hit.collect()]  # names of files, not rows
+    if not files:
+        return 0
+    location, partitioned = table_location(spark, table)
+    if partitioned:
+        swap_replace(spark, table, changed(df))
+        return len(files)
+    folder = Folder(spark, location)
+    folder.delete(UPDATED)
+    # Rows of a file stay together, so that a small change does not spread over many files.
+    changed(spark.read.schema(df.schema).parquet(*files)).write.mode("overwrite").parquet(f"{folder.path}/{UPDATED}")
+    folder.save(UPDATING, [path.rpartition("/")[2] for path in files])
+    recover_update(spark, table)
+    return len(files)
+
+
+def recover_update(spark: SparkSession, table: str) -> None:
+    """Complete an update that was announced: its new files move in, the old ones go. Safe to repeat."""
+    folder = Folder(spark, table_location(spark, table)[0])
+    replaced = folder.load(UPDATING)
+    if replaced is None:
+        return
+    for name in replaced:
+        folder.delete(unquote(name))
+    for name in Folder(spark, f"{folder.path}/{UPDATED}").names("part-*"):
+        folder.move(f"{UPDATED}/{name}", name)
+    folder.delete(UPDATING)
+    folder.delete(UPDATED)
+    spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> tuple[str, bool]:
+    """Where a table's files lie, and whether it is partitioned."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return rows["Location"], "# Partition Information" in rows
 
 
 def snapshot_table(spark: SparkSession, table: str) -> str:
@@ -147,6 +200,11 @@ def empty_like(spark: SparkSession, schema: StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def rows_with_schema(spark: SparkSession, rows: list[tuple], schema_json: str) -> DataFrame:
+    """A few given rows with a schema in its JSON form."""
+    return spark.createDataFrame(rows, StructType.fromJson(json.loads(schema_json)))
+
+
 def set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
     pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")

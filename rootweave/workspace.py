@@ -37,14 +37,21 @@ def _local_root(application_id: str) -> str:
 
 
 class Workspace:
-    """A private folder for the staged frames and scratch tables of one run."""
+    """A private folder for the staged frames and scratch tables of one run.
 
-    def __init__(self, spark: SparkSession):
+    A workspace with a ``name`` outlives a run that fails, so that the next run of that name can go on from what was
+    finished, see :class:`rootweave.operators.components.Rounds`; it goes when a run ends well.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None):
         self.spark = spark
-        self.path = f"{checkpoint_root(spark)}/rootweave-{uuid.uuid4().hex}"
+        attempt = uuid.uuid4().hex
+        self.name = name
+        self.base = f"{checkpoint_root(spark)}/rootweave-{name or attempt}"
+        self.path = f"{self.base}/{attempt}" if name else self.base
         self._steps = 0
         self._partitions: str | None = None
-        self._delete_on_exit()
+        self._make()
 
     def expect(self, rows: int) -> None:
         """Make shuffles wide enough for ``rows`` rows while the workspace is open.
@@ -63,12 +70,17 @@ class Workspace:
 
     def stage_counted(self, df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """Like :meth:`stage`, and count the rows (and other aggregates) while writing."""
-        path = f"{self.path}/{self._steps:04d}-{label}"
-        self._steps += 1
+        path = self.new_path(label)
         counted, seen = count_while_writing(df, **metrics)
         counted.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), seen.get
 
+    def new_path(self, label: str) -> str:
+        """Where the next frame is staged."""
+        path = f"{self.path}/{self._steps:04d}-{label}"
+        self._steps += 1
+        return path
+
     def scratch_database(self) -> str:
         """Create an empty database whose tables live inside this workspace."""
         name = f"scratch_{uuid.uuid4().hex}"
@@ -77,25 +89,33 @@ class Workspace:
 
     def close(self) -> None:
         """Delete the workspace; frames read from it are invalid afterwards."""
+        self._restore_width()
+        path, fs = self._hadoop_path(self.base)
+        fs.delete(path, True)
+
+    def _restore_width(self) -> None:
         if self._partitions:
             self.spark.conf.set(PARTITIONS_SETTING, self._partitions)
-        path, fs = self._hadoop_path()
-        fs.delete(path, True)
+            self._partitions = None
 
     def __enter__(self) -> Workspace:
         return self
 
-    def __exit__(self, *_) -> None:
-        self.close()
+    def __exit__(self, error, *_) -> None:
+        if error and self.name:
+            self._restore_width()
+        else:
+            self.close()
 
-    def _hadoop_path(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def _hadoop_path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _delete_on_exit(self) -> None:
-        path, fs = self._hadoop_path()
+    def _make(self) -> None:
+        path, fs = self._hadoop_path(self.path)
         fs.mkdirs(path)
-        fs.deleteOnExit(path)
+        if not self.name:
+            fs.deleteOnExit(path)
 
 
 def count_while_writing(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:

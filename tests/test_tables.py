@@ -124,7 +124,7 @@ def test_workspace_widens_shuffles_and_cleans_up(spark):
         ws.expect(100 * workspace.ROWS_PER_TASK)
         ws.expect(50 * workspace.ROWS_PER_TASK)
         assert spark.conf.get(setting) == "100"
-        path, fs = ws._hadoop_path()
+        path, fs = ws._hadoop_path(ws.path)
         assert fs.exists(path)
     assert spark.conf.get(setting) == before
     assert not fs.exists(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rootweave.operators import checks, components, edges, mapping
+from rootweave.operators import checks, components, edges, mapping, numbering
 from rootweave.workspace import Workspace
 from workload import oracles as sql
 from workload.views import BEFORE, NOW, config, history_tables
@@ -42,6 +42,24 @@ def closure_pairs(spark, sf_dir):
     return mapping.closure_pairs(*solve(spark, sf_dir, "current"))
 
 
+def closure_reached(spark, sf_dir):
+    """How many entities each seed reaches, from the factorised closure."""
+    return mapping.closure(*solve(spark, sf_dir, "current")).reached()
+
+
+def closure_holds(spark, sf_dir):
+    """For every seed and the entity of the next order number: does the one reach the other?"""
+    found, seeds = solve(spark, sf_dir, "current")
+    asked = seeds.select("seed_rel_id", (F.col("seed_rel_id").cast("bigint") + 1).cast("string").alias("rel_id"))
+    return mapping.closure(found, seeds).holds(asked)
+
+
+def vertex_numbers(spark, sf_dir):
+    """Numbers without gaps for all entities with an edge, in their order."""
+    e = edges.edge_rows(history_tables(spark, sf_dir), config("history"))
+    return numbering.dense_numbers(e.select("rel_id").distinct(), ["rel_id"], Workspace(spark))[0]
+
+
 def expand_component(spark, sf_dir):
     """Everything reachable from the entities with an open, flagged-off register row."""
     found, _ = solve(spark, sf_dir, "current")
@@ -72,7 +90,8 @@ def golden_compare(spark, sf_dir):
 
 QUERIES = {
     "active_seeds": active_seeds, "edges_history": edges_history, "edges_current": edges_current,
-    "edges_untagged": edges_untagged, "closure_pairs": closure_pairs, "expand_component": expand_component,
+    "edges_untagged": edges_untagged, "closure_pairs": closure_pairs, "closure_reached": closure_reached,
+    "closure_holds": closure_holds, "vertex_numbers": vertex_numbers, "expand_component": expand_component,
     "components": components_named, "full_mapping_history": full_mapping_history,
     "full_mapping_current": full_mapping_current, "golden_compare": golden_compare,
 }
@@ -88,6 +107,13 @@ ORACLES = {
         NOW, extra=sql.edges("edges", "current"), body="SELECT DISTINCT rel_id, id_key FROM edges"),
     "closure_pairs": sql.with_history(
         NOW, extra=sql.graph("", "current"), body="SELECT seed_rel_id, rel_id FROM reach"),
+    "closure_reached": sql.with_history(NOW, extra=sql.graph("", "current"), body="""
+        SELECT seed_rel_id, count(*) AS n_reached FROM reach GROUP BY seed_rel_id"""),
+    "closure_holds": sql.with_history(NOW, extra=sql.graph("", "current") + """,
+        asked AS (SELECT seed_rel_id, CAST(CAST(seed_rel_id AS BIGINT) + 1 AS STRING) AS rel_id FROM seeds)""", body="""
+        SELECT seed_rel_id, rel_id, (seed_rel_id, rel_id) IN (SELECT (seed_rel_id, rel_id) FROM reach) AS reached FROM asked"""),
+    "vertex_numbers": sql.with_history(NOW, extra=sql.edges("edges", "history"), body="""
+        SELECT rel_id, row_number() OVER (ORDER BY rel_id) - 1 AS v FROM (SELECT DISTINCT rel_id FROM edges)"""),
     "expand_component": sql.with_history(NOW, extra=sql.edges("edges", "current") + ",\n" + ALL_NEAR + """,
         found(rel_id) AS (
             SELECT rel_id FROM register WHERE active_f = 'N' AND valid_from < TIMESTAMP '1995-07-01 00:00:00'

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootweave.functions import better_root, key_as_long, key_as_string, not_blank, open_ended, table_name_of
-from rootweave.operators import checks, delta, edges, hops
-from rootweave.operators.skew import hot_keys
+from rootweave.operators import checks, delta, edges, hops, numbering
 from rootweave.sources.files import preview, temporal_to_string
 from rootweave.workspace import Workspace
 from workload import oracles as sql
@@ -21,7 +20,8 @@ def graph(spark: SparkSession, sf_dir: str, scope: str = "current", state: str =
 
 
 def one_step_membership(edge_df: DataFrame, seeds: DataFrame) -> DataFrame:
-    return hops.one_step_membership(seeds, edge_df)
+    staged, by_entity, by_key = hops.hot_edge_keys(edge_df, Workspace(edge_df.sparkSession))
+    return hops.one_step_membership(seeds, staged, by_entity, by_key)
 
 
 def project_alias(spark, sf_dir):
@@ -102,20 +102,40 @@ def temporal_preview(spark, sf_dir):
 
 def hop_entity_to_key(spark, sf_dir):
     e, s = graph(spark, sf_dir)
-    return hops.entity_to_key(hops.start_frontier(s), e)
+    e, by_entity, _ = hops.hot_edge_keys(e, Workspace(spark))
+    return hops.entity_to_key(hops.start_frontier(s), e, by_entity)
 
 
 def hop_key_to_entity(spark, sf_dir):
     e, s = graph(spark, sf_dir)
-    e, counted = Workspace(spark).stage_counted(e, "edges")
-    by_entity, by_key = (hot_keys(e, column, counted["rows"]) for column in ("rel_id", "id_key"))
+    e, by_entity, by_key = hops.hot_edge_keys(e, Workspace(spark))
     return hops.key_to_entity(hops.entity_to_key(hops.start_frontier(s), e, by_entity), e, by_key)
 
 
+def seed_bitmaps(spark, sf_dir):
+    """(seeds with numbers, bitmaps of the seeds one identifier away from each entity)."""
+    e, s = graph(spark, sf_dir)
+    ws = Workspace(spark)
+    e, by_entity, by_key = hops.hot_edge_keys(e, ws)
+    numbered, _ = numbering.dense_numbers(s, ["seed_rel_id"], ws, start=1)
+    return numbered, hops.entity_bitmaps(hops.key_bitmaps(numbered, e, by_entity), e, by_key)
+
+
+def hop_seed_counts(spark, sf_dir):
+    return hops.count_seeds(seed_bitmaps(spark, sf_dir)[1])
+
+
+def hop_listed_seeds(spark, sf_dir):
+    """The pairs of one hop, written out from the bitmaps."""
+    numbered, bitmaps = seed_bitmaps(spark, sf_dir)
+    return hops.listed_seeds(bitmaps, numbered)
+
+
 def hop_unseeded(spark, sf_dir):
     e, s = graph(spark, sf_dir)
+    e, by_entity, by_key = hops.hot_edge_keys(e, Workspace(spark))
     start = s.select(F.col("seed_rel_id").alias("rel_id"))
-    return hops.key_to_entity(hops.entity_to_key(start, e), e)
+    return hops.key_to_entity(hops.entity_to_key(start, e, by_entity), e, by_key)
 
 
 def anti_one_key(spark, sf_dir):
@@ -206,8 +226,10 @@ def has_rows(spark, sf_dir):
 
 
 def uniqueness(spark, sf_dir):
-    pairs = hop_key_to_entity(spark, sf_dir)
-    return checks.uniqueness(pairs.select("rel_id", "seed_rel_id"))
+    """Pairs with entities that reach several seeds, and with line items that repeat a pair."""
+    pairs = hop_key_to_entity(spark, sf_dir).select("rel_id", "seed_rel_id")
+    lines = load(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    return checks.uniqueness(pairs.union(lines.select(F.concat(F.lit("p"), "l_partkey"), "l_suppkey")))
 
 
 def order_rows(spark, sf_dir):
@@ -270,7 +292,7 @@ QUERIES = {
     "open_ended": open_ended_rows, "ts_equals": ts_equals, "drop_blank_keys": drop_blank_keys,
     "case_when": case_when, "current_rows": current_rows, "temporal_to_string": temporal_preview,
     "hop_entity_to_key": hop_entity_to_key, "hop_key_to_entity": hop_key_to_entity,
-    "hop_unseeded": hop_unseeded, "anti_one_key": anti_one_key, "anti_two_keys": anti_two_keys,
+    "hop_seed_counts": hop_seed_counts, "hop_listed_seeds": hop_listed_seeds, "hop_unseeded": hop_unseeded, "anti_one_key": anti_one_key, "anti_two_keys": anti_two_keys,
     "removed_seed_members": removed_seed_members, "impacted_prev_seeds": impacted_prev_seeds,
     "semi_filter": semi_filter, "keep_untouched": keep_untouched, "distinct_rows": distinct_rows,
     "distinct_subset": distinct_subset, "group_min": group_min, "winner_rule": winner_rule,
@@ -326,6 +348,8 @@ ORACLES = {
     "hop_entity_to_key": now_graph(
         "SELECT DISTINCT s.seed_rel_id, e.id_key FROM seeds s JOIN edges e ON e.rel_id = s.seed_rel_id"),
     "hop_key_to_entity": now_graph("SELECT seed_rel_id, rel_id FROM hop", ONE_HOP),
+    "hop_seed_counts": now_graph("SELECT rel_id, count(*) AS n_seeds FROM hop GROUP BY rel_id", ONE_HOP),
+    "hop_listed_seeds": now_graph("SELECT seed_rel_id, rel_id FROM hop", ONE_HOP),
     "hop_unseeded": now_graph("SELECT DISTINCT rel_id FROM hop", ONE_HOP),
     "anti_one_key": now_graph(
         "SELECT DISTINCT rel_id FROM hop WHERE rel_id NOT IN (SELECT seed_rel_id FROM seeds)", ONE_HOP),
@@ -363,9 +387,11 @@ ORACLES = {
                EXISTS (SELECT 1 FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal < 0) AS has_debtors,
                EXISTS (SELECT 1 FROM customer) AS any_customer FROM nation""",
     "uniqueness": now_graph("""
-        SELECT count(*) AS total_rows, count(*) AS distinct_rows,
-               (SELECT count(*) FROM (SELECT rel_id FROM hop GROUP BY rel_id HAVING count(*) > 1)) AS ambiguous_entities
-        FROM hop""", ONE_HOP),
+        SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_rows,
+               (SELECT count(*) FROM (SELECT a FROM pairs GROUP BY a HAVING count(DISTINCT b) > 1)) AS ambiguous_entities
+        FROM (SELECT a, b, count(*) AS n FROM pairs GROUP BY a, b)""", ONE_HOP + """,
+        pairs(a, b) AS (SELECT rel_id, seed_rel_id FROM hop
+                        UNION ALL SELECT 'p' || l_partkey, CAST(l_suppkey AS STRING) FROM lineitem)"""),
     "order_rows": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders ORDER BY o_custkey, o_orderkey",
     "topk_preview": sql.with_history(NOW, extra=sql.edges("edges", "history"), body="""
         SELECT * FROM edges ORDER BY id_key, rel_id, source_table LIMIT 30"""),

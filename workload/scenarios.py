@@ -8,15 +8,15 @@ which column to update where. The reference SQL solves the whole graph before an
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache, partial
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootweave.config import MappingConfig
-from rootweave.plans.refresh import COMPONENTS, EDGES, SEEDS, committed_run, refresh_mapping, RUN_ID
+from rootweave.plans.refresh import refresh_mapping
 from rootweave.plans.scenario import Scenario, run_scenario
-from rootweave.sources.tables import append_rows, set_properties, update_where, write_table
+from rootweave.sources.tables import append_rows, update_where
 from rootweave.workspace import Workspace
 from workload import oracles as sql
 from workload.views import NOW, config, create_tables, load, on_spark
@@ -115,10 +115,8 @@ def apply(changes: tuple[Change, ...], sf_dir: str, ws: Workspace, spark: SparkS
             update_where(spark, f"{cfg.source_db}.{change.table}", change.column, *map(F.expr, text))
 
 
-@cache
-def baseline(spark: SparkSession, application_id: str, sf_dir: str) -> MappingConfig:
-    """Tables and state after a first refresh; every case works on a copy of them."""
-    ws = Workspace(spark)
+def baseline(spark: SparkSession, sf_dir: str, ws: Workspace) -> MappingConfig:
+    """Tables and state after a first refresh."""
     db = ws.scratch_database()
     cfg = config("current", db, state_db=ws.scratch_database())
     create_tables(spark, sf_dir, db)
@@ -126,23 +124,9 @@ def baseline(spark: SparkSession, application_id: str, sf_dir: str) -> MappingCo
     return cfg
 
 
-def copy_of_baseline(spark: SparkSession, sf_dir: str, ws: Workspace) -> MappingConfig:
-    base = baseline(spark, spark.sparkContext.applicationId, sf_dir)
-    db = ws.scratch_database()
-    cfg = config("current", db, state_db=ws.scratch_database())
-    stamp = {RUN_ID: committed_run(spark, base)}
-    for table in ("register", "link"):
-        write_table(spark.table(f"{base.source_db}.{table}"), f"{db}.{table}")
-    kept = {cfg.output: base.output, **{cfg.state(t): base.state(t) for t in (EDGES, SEEDS, COMPONENTS)}}
-    for target, source in kept.items():
-        write_table(spark.table(source), target)
-        set_properties(spark, target, stamp)
-    return cfg
-
-
 def run_case(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark)
-    cfg = copy_of_baseline(spark, sf_dir, ws)
+    cfg = baseline(spark, sf_dir, ws)
     scenario = Scenario(name, partial(apply, CASES[name], sf_dir, ws))
     result = run_scenario(spark, cfg, scenario, ws)
     if not result.passed:
