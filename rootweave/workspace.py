@@ -7,6 +7,7 @@ be read by all of them, and gives later joins true file sizes to plan with.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import cache
@@ -87,6 +88,14 @@ class Workspace:
         self.spark.sql(f"CREATE DATABASE {name} LOCATION '{self.path}/{name}'")
         return name
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+        It does so when the driver collects its garbage, which a driver with little to do may not do for long.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def close(self) -> None:
         """Delete the workspace; frames read from it are invalid afterwards."""
         self._restore_width()
