@@ -217,8 +217,11 @@ def _meet(asked: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return x.join(y, same & _close(percent)).select("x.token", "x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
 
 
-def _linked(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough. Only the texts of these pairs are read again."""
+    pairs = ws.stage(pairs, "pairs")
+    ids = stage_keys(pairs.select(F.explode(F.array("a", "b")).alias("_id")), ws, "ids")
+    hashes = ws.stage(_hashes(semi_join(docs, ids, "_id"), size), "hashes")
     x = hashes.select(F.col("_id").alias("a"), F.col("hashes").alias("x"))
     y = hashes.select(F.col("_id").alias("b"), F.col("hashes").alias("y"))
     return pairs.join(x, "a").join(y, "b").filter(_similar(percent)).select("a", "b")
@@ -267,16 +270,18 @@ def jaccard_components(
     shared, rare = _rare(_tokens(own, size, percent), ws)
 
     ids = stage_keys(rare.select("_id"), ws, "ids")
-    hashes = ws.stage(_hashes(semi_join(plain, ids, "_id"), size), "hashes")
+    drawn = ws.stage(semi_join(sets.select("_id", "n", "sketch"), ids, "_id"), "drawn")
+    ws.release()  # the tokens' shuffle is the largest of all
 
-    # Groups: each set with the candidate it shares most rare tokens with.
+    # Groups: each set with the candidate it shares most rare tokens with, if sizes and sketches allow a link.
     heads = rare.groupBy("token").agg(F.min("_id").alias("b"))
     nearest = rare.join(heads, "token").filter("_id <> b").groupBy("_id", "b").count().groupBy("_id").agg(
         F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
     ).select(F.col("_id").alias("a"), "b")
-    links = ws.stage(_linked(nearest, hashes, percent), "links")
-
-    drawn = ws.stage(semi_join(sets.select("_id", "n", "sketch"), ids, "_id"), "drawn")
+    x = drawn.select(F.col("_id").alias("a"), F.struct("n", "sketch").alias("x"))
+    y = drawn.select(F.col("_id").alias("b"), F.struct("n", "sketch").alias("y"))
+    near = nearest.join(x, "a").join(y, "b").filter(_close(percent)).select("a", "b")
+    links = ws.stage(_linked(near, plain, size, percent, ws), "links")
 
     for whole in (False, True):
         roots = components(links, ws)
@@ -295,7 +300,8 @@ def jaccard_components(
                 F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
             )
         pairs = opened.select(F.col("_id").alias("a"), "b").distinct()
-        links = ws.stage(links.unionByName(_linked(pairs, hashes, percent)), "links")
+        links = ws.stage(links.unionByName(_linked(pairs, plain, size, percent, ws)), "links")
+        ws.release()
 
     roots = components(links, ws)
     named = reps.join(roots.withColumnRenamed("v", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
