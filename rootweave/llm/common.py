@@ -21,6 +21,16 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that a column of ``docs`` has, whatever its case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1_000
 

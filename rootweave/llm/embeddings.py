@@ -13,8 +13,8 @@ leaf is one unit of work, so that no task holds more than two blocks. Nothing is
 of points in a leaf is compared. Recall comes from the number of trees and the margin; it is
 measured in the tests.
 
-Defined cases: vectors that are null, empty, zero, of another dimension than most, or that hold null
-or non-finite components link with nothing and are kept; rows that share an id are one vertex; null
+Defined cases: vectors that are null, empty or zero, or that hold null or non-finite components link
+with nothing and are kept; vectors link with those of their own length only; rows that share an id are one vertex; null
 ids link with nothing; labels and other columns are ignored.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -174,6 +175,14 @@ def _compare(limit: float):
     return compare
 
 
+def _pairs(
+    points: DataFrame, count: int, ws: Workspace, cosine: float, trees: int, sample: int, leaf: int, spill: float
+) -> DataFrame:
+    """(a, b): the ``count`` points(_id, unit) of one length that a forest puts in one leaf and whose cosine is large enough."""
+    tiles = _tiles(ws.stage(_leaf_rows(points, fit(points, count, sample, trees, leaf, spill)), "leaves"))
+    return tiles.groupBy("tree", "leaf", "x", "y").applyInArrow(_compare(cosine), "a long, b long").select("a", "b")
+
+
 def near_duplicates(
     vectors: DataFrame, ws: Workspace, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9,
     trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF, spill: float = SPILL,
@@ -185,16 +194,16 @@ def near_duplicates(
     """
     plain = ws.stage(_unit(vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("_vector")), "_vector").select("_id", "unit"), "units")
     usable = plain.filter("_id IS NOT NULL AND unit IS NOT NULL")
-    sizes = usable.groupBy(F.size("unit").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dimension = sizes[0]["d"] if sizes else 0
-    usable = usable.filter(F.size("unit") == dimension)
     # Equal directions are one point; its vectors all link with each other.
     points = ws.stage(usable.groupBy("unit").agg(F.min("_id").alias("point"), F.count_distinct("_id").alias("copies")), "points")
     named = points.select(F.col("point").alias("_id"), "unit")
-    forest = fit(named, points.count(), sample, trees, leaf, spill)
-    tiles = _tiles(ws.stage(_leaf_rows(named, forest), "leaves"))
-    found = tiles.groupBy("tree", "leaf", "x", "y").applyInArrow(_compare(cosine), "a long, b long")
-    links = ws.stage(found.select("a", "b").distinct(), "pairs")
+    # Vectors are compared with those of their own length; lengths are at most the root of twice the number of all components.
+    found = [
+        _pairs(named.filter(F.size("unit") == row["d"]), row["count"], ws, cosine, trees, sample, leaf, spill)
+        for row in points.groupBy(F.size("unit").alias("d")).count().orderBy("d").collect()
+    ]
+    none = usable.select(F.col("_id").alias("a"), F.col("_id").alias("b")).limit(0)
+    links = ws.stage(reduce(DataFrame.unionByName, found, none).distinct(), "pairs")
     weights = points.select("point", "copies")
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     beside = both.join(weights.withColumnRenamed("point", "b"), "b").groupBy("a").agg(F.sum("copies").alias("beside"))
@@ -202,7 +211,7 @@ def near_duplicates(
     known = points.join(beside.withColumnRenamed("a", "point"), "point", "left").join(roots.withColumnRenamed("v", "point"), "point", "left").select(
         "unit", (F.col("copies") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"), F.coalesce("root", "point").alias("component_id")
     )
-    result = plain.join(known, "unit", "left") if dimension else plain.select("*", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    result = plain.join(known, "unit", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "_id"))
     return result.select(
         F.col("_id").alias(id_col), F.when(F.col("_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"),

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rootweave.operators.skew import hot_limit, salt_groups, skew_join
 from rootweave.workspace import Workspace
 
 KEY = ("_id", "_digest")
@@ -64,26 +65,29 @@ def drop_repeated_lines(
 
     ``mean_lines`` (2 to 256) is the mean size of a chunk in lines. The result reads files of ``ws``.
     """
-    keyed = docs.withColumns({"_id": F.col(id_col), "_digest": F.md5(F.col(text_col).cast("binary"))})
-    found = _chunks(
-        keyed.filter(F.instr(text_col, "\n") > 0).select(*KEY, F.col(text_col).alias("_text")), F.col("_text"), window, mean_lines
-    ).select(*KEY, F.inline_outer("_chunks")).filter("chunk IS NOT NULL")
+    # The user's columns travel as one, so that no name of theirs can be one of these.
+    others = [c for c in docs.columns if c not in (text_col, removed_col)]
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
+    ).withColumn("_digest", F.md5(F.col("_text").cast("binary")))
+    found = _chunks(keyed.filter(F.instr("_text", "\n") > 0).select(*KEY, "_text"), F.col("_text"), window, mean_lines)
     # A digest for each chunk is all that is needed to tell which may repeat.
-    found = ws.stage(found, "chunks")
-    repeated = found.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk")
-    suspects = found.join(repeated, "chunk", "left_semi").groupBy(*KEY).agg(
+    found, counted = ws.stage_counted(found.select(*KEY, F.inline_outer("_chunks")).filter("chunk IS NOT NULL"), "chunks")
+    repeated = ws.stage(found.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
+    hot = repeated.filter(F.col("n") > hot_limit(counted["rows"])).select("chunk", salt_groups("n"))
+    suspects = skew_join(found, repeated.select("chunk"), "chunk", hot, "left_semi").groupBy(*KEY).agg(
         F.collect_set(F.struct("start", "size", "chunk")).alias("_suspects")
     )
-    joined = _on_key(keyed, suspects.hint("shuffle_hash"))
-    whole = ws.stage(joined, "documents")
+    whole = ws.stage(_on_key(keyed, suspects.hint("shuffle_hash")), "documents")
 
-    some = whole.filter("_suspects IS NOT NULL").select(*KEY, F.split(text_col, "\n", -1).alias("_lines"), "_suspects")
+    some = whole.filter("_suspects IS NOT NULL").select(*KEY, F.split("_text", "\n", -1).alias("_lines"), "_suspects")
     texts = some.select(*KEY, "_lines", F.inline("_suspects")).select(
         *KEY, "start", "size", "chunk", F.array_join(F.slice("_lines", F.col("start") + 1, F.col("size")), "\n").alias("passage")
     ).filter(F.length(F.trim(F.translate("passage", "\n\t\r", "   "))) > 0)
     place = F.struct("_id", "_digest", "start")
     first = texts.groupBy("chunk", "passage").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    later = texts.join(first, ["chunk", "passage"]).filter(~place.eqNullSafe(F.col("first")))
+    met = skew_join(texts, first.withColumnRenamed("passage", "known"), "chunk", hot).filter("passage = known")
+    later = met.filter(~place.eqNullSafe(F.col("first")))
     removed = later.groupBy(*KEY).agg(
         F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)))).alias("_removed")
     )
@@ -91,13 +95,13 @@ def drop_repeated_lines(
     kept_text = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
     shortened = (
         _on_key(whole.filter("_suspects IS NOT NULL"), removed.hint("shuffle_hash"))
-        .withColumn("_lines", F.when(F.col("_removed").isNotNull(), F.split(text_col, "\n", -1)))
+        .withColumn("_lines", F.when(F.col("_removed").isNotNull(), F.split("_text", "\n", -1)))
         .withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed"))
-        .withColumn(text_col, F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(kept_text))
+        .withColumn("_text", F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(kept_text))
         .withColumn("_gone", F.coalesce(F.size("_lines") - F.size("_left"), F.lit(0)).cast("long"))
     )
     rest = whole.filter("_suspects IS NULL").withColumn("_gone", F.lit(0).cast("long"))
-    columns = [F.col(c) for c in docs.columns if c != removed_col]
+    columns = [F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns if c != removed_col]
     if removed_col:
         columns.append(F.col("_gone").alias(removed_col))
     return shortened.select(*columns).unionByName(rest.select(*columns))

@@ -151,13 +151,15 @@ def realise(
     epoch_col: str | None = "epoch", order_col: str | None = "order_key",
 ) -> DataFrame:
     """``docs``, each row as often as it is taken, with the epoch and a key; sorting by both gives the training order."""
-    columns = [F.col(c) for c in docs.columns if c not in (epoch_col, order_col)]
-    keyed = docs.withColumns({"_id": F.col(id_col), "_source": _source(source_col)})
+    # The user's columns travel as one, so that no name of theirs can be one of these.
+    kept = [c for c in docs.columns if c not in (epoch_col, order_col)]
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), F.col(id_col).alias("_id"), _source(source_col).alias("_source"))
     met = keyed.join(planned.select("_source", "_part", "cut"), "_source").withColumns(_places(seed))
     taken = F.coalesce(F.struct("_block", "_sub", "_doc") <= F.col("cut"), F.lit(False))
     epochs = F.filter(F.sequence(F.lit(0), F.col("_part")), lambda e: (e < F.col("_part")) | taken)
     # As outer, since else a test for empty arrays repeats all these hashes in the scan.
     rows = met.withColumn("_epoch", F.explode_outer(epochs)).filter("_epoch IS NOT NULL")
+    columns = [F.col("_row").getField(c).alias(c) for c in kept]
     if epoch_col:
         columns.append(F.col("_epoch").alias(epoch_col))
     if order_col:

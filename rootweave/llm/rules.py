@@ -29,7 +29,6 @@ from rootweave.llm.common import small_batches
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_letter_words")
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
-_LETTER = re.compile(r"[^\W\d_]").search
 _NO_SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 
 
@@ -90,7 +89,7 @@ def measure(text: str | None) -> tuple[int, ...]:
             if window in twice:
                 repeated += i + 3 - max(i, covered)
                 covered = i + 3
-    letters = sum(1 for word in words if _LETTER(word))
+    letters = sum(1 for word in words if word.isalpha() or any(map(str.isalpha, word)))
     return n, sum(map(len, words)), n_symbols, len(lines) - len(set(lines)), len(lines), repeated, letters
 
 

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.llm.common import whole
+from rootweave.llm.common import unused, whole
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = "[A-Za-z0-9+/_=-]"
@@ -61,13 +61,14 @@ def pattern_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "spa
     """``docs`` with the spans of the three patterns, ordered by start and kind."""
     text = whole(text_col)
     all_of = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    matched = docs.withColumns({"_assign": all_of(ASSIGN), "_access": all_of(ACCESS), "_hex": all_of(HEX)})
+    assign, access, hex_ = unused(docs, "_assign", "_access", "_hex")
+    matched = docs.withColumns({assign: all_of(ASSIGN), access: all_of(ACCESS), hex_: all_of(HEX)})
     long_enough = F.transform(all_of(ASSIGN, 2), lambda value: F.length(value) >= 8)
     return matched.withColumn(spans_col, F.array_sort(F.concat(
-        _spans(text, F.col("_assign"), ASSIGN, 0, long_enough),
-        _spans(text, F.col("_access"), ACCESS, 1),
-        _spans(text, F.col("_hex"), HEX, 2),
-    ))).drop("_assign", "_access", "_hex")
+        _spans(text, F.col(assign), ASSIGN, 0, long_enough),
+        _spans(text, F.col(access), ACCESS, 1),
+        _spans(text, F.col(hex_), HEX, 2),
+    ))).drop(assign, access, hex_)
 
 
 @dataclass(frozen=True)
@@ -133,8 +134,9 @@ def find(
     ``kind`` indexes ``KINDS``. A token of at least ``min_length`` characters is random if its mean ratio exceeds ``threshold``.
     """
     text, pattern = whole(text_col), f"{TOKEN}{{{min_length},}}"
+    (tokens,) = unused(docs, "_tokens")
     base = pattern_spans(docs, text_col, base_col).withColumn(
-        "_tokens", F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        tokens, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     )
     ratios = models.column()
     place = lambda token, i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1)))
@@ -146,9 +148,9 @@ def find(
         )
         return total > threshold * (F.length(token) - 1)
 
-    added = _spans(text, F.col("_tokens"), pattern, 3, F.transform("_tokens", is_random))
+    added = _spans(text, F.col(tokens), pattern, 3, F.transform(tokens, is_random))
     apart = F.filter(added, lambda s: ~F.exists(base_col, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return base.withColumn(spans_col, F.array_sort(F.concat(F.col(base_col), apart))).drop("_tokens")
+    return base.withColumn(spans_col, F.array_sort(F.concat(F.col(base_col), apart))).drop(tokens)
 
 
 def written(spans: str) -> Column:

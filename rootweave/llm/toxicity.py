@@ -37,13 +37,13 @@ TRAIN_DOCS = 6_000
 WINDOWS = 6_000
 WINDOW = 64
 MAX_FEATURES = 50_000
+PAD = 255  # no level: behind the end of a text
 LEVELS = 12  # of evidence, each half a nat wide; 0 is none
 MEMO = 150_000
 
 RESULT = "struct<score: double, spans: array<struct<start: int, end: int, marginal: double>>>"
 
 _OUTSIDE = re.compile(r"[\W\d_]+")
-_TOKEN = re.compile(r"\S+")
 
 
 def features(word: str) -> list[str]:
@@ -132,11 +132,12 @@ class Tagger:
         bias, a, b = self.model.logit
         spans = []
         if most >= threshold:
-            words = list(_TOKEN.finditer(text))
-            if len(words) == len(text.split()):
-                spans = [
-                    {"start": words[i].start(), "end": words[i].end(), "marginal": p} for i, p in found if p >= threshold
-                ]
+            starts, at = [], 0
+            words = text.split()
+            for word in words:
+                starts.append(text.index(word, at))
+                at = starts[-1] + len(word)
+            spans = [{"start": starts[i], "end": starts[i] + len(words[i]), "marginal": p} for i, p in found if p >= threshold]
         x = bias + a * most + b * total
         return {"score": 1.0 / (1.0 + math.exp(-x)) if x > -700 else 0.0, "spans": spans}
 
@@ -195,8 +196,11 @@ def evidence(sample: DataFrame, toxic_docs: int, other_docs: int, least: int = 5
     return level
 
 
-def _window_rows(sample: DataFrame, level: dict[str, int]) -> list:
-    """Windows with evidence, at most ``WINDOWS``, and the number of those without."""
+def _window_rows(sample: DataFrame, level: dict[str, int]) -> tuple[list, float]:
+    """Windows with evidence, at most ``WINDOWS``, and the number of those without.
+
+    Every token is in one window; the last one of a text is filled up with ``PAD``, so that short texts count too.
+    """
     shared = sample.sparkSession.sparkContext.broadcast(level)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,13 +209,13 @@ def _window_rows(sample: DataFrame, level: dict[str, int]) -> list:
             kept, labels, empty = [], [], 0
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = list(map(levels.__getitem__, (text or "").split()))
-                for at in range(0, len(found) - WINDOW + 1, WINDOW):
+                for at in range(0, len(found), WINDOW):
                     part = found[at : at + WINDOW]
                     if any(part):
-                        kept.append(bytes(part))
+                        kept.append(bytes(part).ljust(WINDOW, bytes([PAD])))
                         labels.append(label)
                     else:
-                        empty += 1
+                        empty += len(part)  # tokens
             n = len(kept)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*kept, None], pa.binary()), pa.array([*labels, 0], pa.int32()), pa.array([0] * n + [empty], pa.int64())],
@@ -221,22 +225,24 @@ def _window_rows(sample: DataFrame, level: dict[str, int]) -> list:
     rows = sample.mapInArrow(windows, "part binary, label int, empty long")
     empty = rows.filter("part IS NULL").agg(F.coalesce(F.sum("empty"), F.lit(0))).first()[0]
     chosen = rows.filter("part IS NOT NULL").orderBy(F.xxhash64("part"), "part", "label").limit(WINDOWS)
-    return [(row[0], row[1]) for row in chosen.select("part", "label").collect()], empty
+    return [(row[0], row[1]) for row in chosen.select("part", "label").collect()], empty / WINDOW
 
 
-def fit_chain(parts: np.ndarray, toxic: np.ndarray, empty: int, rounds: int = 80, rate: float = 0.25, decay: float = 0.01):
+def fit_chain(parts: np.ndarray, toxic: np.ndarray, empty: float, rounds: int = 80, rate: float = 0.25, decay: float = 0.01):
     """Weights of the levels and (into, stay, leave) by gradient ascent on the likelihood of the labelled tokens.
 
-    ``parts`` holds levels (window x token), ``toxic`` whether the window's document is toxic; the last
-    window stands for the ``empty`` ones.
+    ``parts`` holds levels (window x token), ``PAD`` behind the end of a text, and ``toxic`` whether the window's
+    document is toxic; one more window stands for the ``empty`` ones.
     """
     parts = np.vstack([parts, np.zeros((1, parts.shape[1]), parts.dtype)])
+    live = parts != PAD
+    parts = np.where(live, parts, 0)
     labels = (parts > 0) & np.append(toxic, False)[:, None]
     mass = np.append(np.ones(len(parts) - 1), max(empty, 1))
     mass /= mass.sum()
     steps = parts.shape[1]
     before = np.hstack([np.zeros((len(parts), 1), bool), labels[:, :-1]])
-    seen = np.array([(mass[:, None] * hit).sum() for hit in (~before & labels, before & labels, before & ~labels)])
+    seen = np.array([(mass[:, None] * hit).sum() for hit in (~before & labels, before & labels, before & ~labels & live)])
     seen_level = np.bincount(parts.ravel(), (mass[:, None] * labels).ravel(), LEVELS)
     theta = np.concatenate([np.full(LEVELS, -2.0), [-1.0, 0.0, 0.0]])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
@@ -249,15 +255,17 @@ def fit_chain(parts: np.ndarray, toxic: np.ndarray, empty: int, rounds: int = 80
         for t in range(steps):
             zero, one = a[t, 0] + a[t, 1] * leave, (a[t, 0] * into + a[t, 1] * stay) * x[:, t]
             scale[t + 1] = zero + one
-            a[t + 1, 0], a[t + 1, 1] = zero / scale[t + 1], one / scale[t + 1]
+            # Behind the end nothing changes any more.
+            a[t + 1] = np.where(live[:, t], [zero / scale[t + 1], one / scale[t + 1]], a[t])
         b0 = b1 = np.ones(len(parts))
         expected, expected_level = np.zeros(3), np.zeros(LEVELS)
         for t in range(steps - 1, -1, -1):
             f = x[:, t] / scale[t + 1]
-            p01, p11, p10 = a[t, 0] * into * f * b1, a[t, 1] * stay * f * b1, a[t, 1] * leave / scale[t + 1] * b0
+            p01, p11, p10 = live[:, t] * [a[t, 0] * into * f * b1, a[t, 1] * stay * f * b1, a[t, 1] * leave / scale[t + 1] * b0]
             expected += [(mass * p).sum() for p in (p01, p11, p10)]
             expected_level += np.bincount(parts[:, t], mass * (p01 + p11), LEVELS)
-            b0, b1 = b0 / scale[t + 1] + into * f * b1, leave / scale[t + 1] * b0 + stay * f * b1
+            earlier = [b0 / scale[t + 1] + into * f * b1, leave / scale[t + 1] * b0 + stay * f * b1]
+            b0, b1 = np.where(live[:, t], earlier, [b0, b1])
         gradient = np.concatenate([seen_level - expected_level, seen - expected]) - decay * 1e-3 * theta
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         theta = theta + rate * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-9)
