@@ -1,7 +1,8 @@
 """Time the headline workloads; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8), BENCH_RUNS (1, after
-a warm-up). With ``--hops`` the closure is also computed hop by hop, for comparison.
+a warm-up). With ``--hops`` the closure is also computed hop by hop, for comparison. ``--copies N`` instead
+times a refresh and a rebuild over N disjoint copies of the tables.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from rootweave.operators import edges, hops
 from rootweave.operators.mapping import full_mapping
+from rootweave.plans.rebuild import rebuild_mapping
 from rootweave.plans.refresh import refresh_mapping
 from rootweave.sources.tables import update_where
 from rootweave.workspace import Workspace
@@ -80,6 +82,26 @@ def incremental(spark: SparkSession) -> dict[str, list[float]]:
     return times
 
 
+def refresh_at_scale(spark: SparkSession, copies: int) -> dict[str, float]:
+    """A refresh after about 1 % of the links were toggled, and a rebuild, over disjoint copies of the tables."""
+    with Workspace(spark) as ws:
+        cfg = config("current", ws.scratch_database(), state_db=ws.scratch_database())
+        for name, df in history_tables(spark, SF_DIR).items():
+            copy = F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy")
+            many = df.select("*", copy).withColumns({
+                "rel_id": F.concat("copy", F.lpad("rel_id", 9, "0")), "id_key": F.concat_ws("-", "id_key", "copy")}).drop("copy")
+            many.write.saveAsTable(f"{cfg.source_db}.{name}")
+        times = {"first_refresh": timed(lambda: refresh_mapping(spark, cfg))}
+        touched = F.col("valid_from") >= F.expr("TIMESTAMP_NTZ '2001-10-01 00:00:00'")
+        flipped = F.when(F.col("del_f") == "Y", "N").otherwise("Y")
+        update_where(spark, f"{cfg.source_db}.link", "del_f", touched, flipped)
+        times["refresh"] = timed(lambda: print(refresh_mapping(spark, cfg), file=sys.stderr))
+        times["refresh_noop"] = timed(lambda: refresh_mapping(spark, cfg))
+        with Workspace(spark) as own:
+            times["rebuild"] = timed(lambda: rebuild_mapping(spark, cfg, own))
+    return {name: round(seconds, 1) for name, seconds in times.items()}
+
+
 def hop_by_hop(spark: SparkSession, scope: str) -> None:
     """The closure as a growing set of (seed, entity) pairs, one hop per round."""
     tables, cfg = history_tables(spark, SF_DIR), config(scope)
@@ -97,6 +119,10 @@ def hop_by_hop(spark: SparkSession, scope: str) -> None:
 
 def main() -> None:
     spark = session()
+    if "--copies" in sys.argv:
+        copies = int(sys.argv[sys.argv.index("--copies") + 1])
+        print(json.dumps({"copies": copies, "seconds": refresh_at_scale(spark, copies)}))
+        return
     work = {
         "full_mapping_history": lambda: rebuild(spark, "history"),
         "full_mapping_current": lambda: rebuild(spark, "current"),

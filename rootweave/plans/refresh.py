@@ -45,8 +45,8 @@ COMPONENTS = "component_snapshot"
 DIGESTS = "source_digest"
 # The last column of the first three is what they are partitioned by.
 STATE_SCHEMAS = {
-    EDGES: f"source_table STRING, rel_id STRING, id_key STRING, sign INT, {state.BUCKET} INT",
-    SEEDS: f"seed_rel_id STRING, sign INT, {state.BUCKET} INT",
+    EDGES: f"source_table STRING, rel_id STRING, id_key STRING, h BIGINT, g BIGINT, sign INT, {state.BUCKET} INT",
+    SEEDS: f"seed_rel_id STRING, h BIGINT, g BIGINT, sign INT, {state.BUCKET} INT",
     COMPONENTS: f"rel_id STRING, component_id BIGINT, {state.BUCKET} INT",
     DIGESTS: f"relation STRING, {state.BUCKET} INT, n BIGINT, low BIGINT, high BIGINT",
 }
@@ -267,11 +267,6 @@ def with_entity_bucket(labels: DataFrame, buckets: int) -> DataFrame:
     return labels.withColumn(state.BUCKET, state.bucket_of(["rel_id"], buckets))
 
 
-def _changes(spark, cfg, table: str, rows: DataFrame, buckets: int, changed: list[int], ws: Workspace) -> tuple[DataFrame, dict]:
-    found = state.changes(spark.table(cfg.state(table)), rows, buckets, changed)
-    return ws.stage_counted(found, "changes", added=F.count_if(F.col("sign") > 0), removed=F.count_if(F.col("sign") < 0))
-
-
 def _update(spark, cfg, tables, relations, ws: Workspace) -> RunStats:
     buckets = int(get_property(spark, cfg.state(COMPONENTS), BUCKETS))
     before, now = state.as_digests(spark.table(cfg.state(DIGESTS))), state.digests(relations, buckets)
@@ -282,8 +277,8 @@ def _update(spark, cfg, tables, relations, ws: Workspace) -> RunStats:
     current_edges = edge_rows(tables, cfg)
     sources = [name for name in relations if name != SEED_RELATION]
     edge_buckets, seed_buckets = state.changed_buckets(before, now, sources), state.changed_buckets(before, now, [SEED_RELATION])
-    edge_changes, edge_moves = _changes(spark, cfg, EDGES, current_edges, buckets, edge_buckets, ws)
-    seed_changes, seed_moves = _changes(spark, cfg, SEEDS, relations[SEED_RELATION], buckets, seed_buckets, ws)
+    edge_changes, edge_moves = state.changes(spark.table(cfg.state(EDGES)), current_edges, buckets, edge_buckets, ws)
+    seed_changes, seed_moves = state.changes(spark.table(cfg.state(SEEDS)), relations[SEED_RELATION], buckets, seed_buckets, ws)
     changed_edges = edge_moves["rows"]
     if not changed_edges and not seed_moves["rows"]:  # repeated rows came or went
         stamp(spark, cfg, "")
