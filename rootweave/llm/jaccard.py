@@ -20,8 +20,11 @@ components is lost, while a group of thousands of near copies costs one comparis
 Sketches. Thousands of variants of one text that are alike, but not alike enough to link, share
 tokens and stay apart. Each set has a parity sketch: every element flips one of ``BITS`` bits. Two
 sketches differ in at most as many bits as their sets in elements, so a pair whose sketches differ in
-more than a link allows is dropped inside the join on the token, and no row is made of it. This never
-loses a link; for sets of several thousand elements the sketch fills up and drops less.
+more than a link allows is dropped inside the join on the token, and no row is made of it. For sets of a
+thousand elements this sketch is full and drops nothing. So each set also has a wide one, of two bits or
+more per element; a wider sketch is folded to the width of the other by a parity of its halves. Pairs
+that met under a token are compared by it before groups are bounded and before any set is moved: it has
+a thirtieth of a set's bytes. Neither sketch ever loses a link.
 
 Scale: all steps are joins and aggregations by token, document or group; token lists are bounded by
 the size of one text. Very frequent tokens are summarised per group before anything is joined to
@@ -140,24 +143,43 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
 
 
+def wide_sketch(hashes: np.ndarray) -> bytes:
+    """A parity sketch whose width grows with the set: the power of two from twice its size on, at least ``BITS``."""
+    width = max(BITS, 1 << (2 * len(hashes) - 1).bit_length())
+    bits = (_mix(hashes + np.uint64(0xA24BAED4963EE407)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(bits, minlength=width).astype(np.uint8) & 1).tobytes()
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """In how many elements two sets differ at least, by their wide sketches."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """One row per document with its set's size, sketch and digest."""
+    """One row per document with its set's size, sketches and digest."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
-            n, sketches, digest = [], [], []
+            n, sketches, wide, digest = [], [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingles.of(text or "")
                 n.append(len(hashes))
                 sketches.append(sketch(hashes))
+                wide.append(wide_sketch(hashes))
                 digest.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(digest, pa.binary())],
-                names=["_id", "n", "sketch", "digest"],
+                [
+                    batch.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(wide, pa.binary()), pa.array(digest, pa.binary()),
+                ],
+                names=["_id", "n", "sketch", "wide", "digest"],
             )
 
-    return docs.mapInArrow(rows, "_id long, n long, sketch array<long>, digest binary")
+    return docs.mapInArrow(rows, "_id long, n long, sketch array<long>, wide binary, digest binary")
 
 
 def _tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -206,7 +228,7 @@ def _close(percent: int) -> Column:
 
 
 def _meet(asked: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """(token, _id, other, b): sets of ``asked`` with members ``b`` of groups ``other`` in ``held`` that they may link with.
+    """(_id, other, b), once per token: sets of ``asked`` with members ``b`` of groups ``other`` in ``held`` that they may link with.
 
     A link between two groups is looked for from the group with the larger name.
     """
@@ -214,7 +236,20 @@ def _meet(asked: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     x = asked.withColumn("part", F.pmod(F.xxhash64("_id"), parts).cast("int")).alias("x")
     y = held.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("y")
     same = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("y.g") < F.col("x.g"))
-    return x.join(y, same & _close(percent)).select("x.token", "x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
+    return x.join(y, same & _close(percent)).select("x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
+
+
+def _near(pairs: DataFrame, drawn: DataFrame, a: str, b: str, percent: int) -> DataFrame:
+    """The rows of ``pairs`` whose sets ``a`` and ``b`` may link by their sizes and wide sketches."""
+
+    def allowed(n: pa.Array, x: pa.Array, m: pa.Array, y: pa.Array) -> pa.Array:
+        sizes = zip(n.to_pylist(), m.to_pylist(), x, y)
+        return pa.array([(100 + percent) * least_apart(v.as_py(), w.as_py()) <= (100 - percent) * (i + j) for i, j, v, w in sizes], pa.bool_())
+
+    x = drawn.select(F.col("_id").alias(a), F.col("n").alias("_n"), F.col("wide").alias("_x"))
+    y = drawn.select(F.col("_id").alias(b), F.col("n").alias("_m"), F.col("wide").alias("_y"))
+    both = pairs.join(x, a).join(y, b).filter(100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m"))
+    return both.filter(F.arrow_udf(allowed, "boolean")("_n", "_x", "_m", "_y")).select(*pairs.columns).distinct()
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
@@ -270,7 +305,7 @@ def jaccard_components(
     shared, rare = _rare(_tokens(own, size, percent), ws)
 
     ids = stage_keys(rare.select("_id"), ws, "ids")
-    drawn = ws.stage(semi_join(sets.select("_id", "n", "sketch"), ids, "_id"), "drawn")
+    drawn = ws.stage(semi_join(sets.select("_id", "n", "sketch", "wide"), ids, "_id"), "drawn")
     ws.release()  # the tokens' shuffle is the largest of all
 
     # Groups: each set with the candidate it shares most rare tokens with, if sizes and sketches allow a link.
@@ -278,25 +313,23 @@ def jaccard_components(
     nearest = rare.join(heads, "token").filter("_id <> b").groupBy("_id", "b").count().groupBy("_id").agg(
         F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
     ).select(F.col("_id").alias("a"), "b")
-    x = drawn.select(F.col("_id").alias("a"), F.struct("n", "sketch").alias("x"))
-    y = drawn.select(F.col("_id").alias("b"), F.struct("n", "sketch").alias("y"))
-    near = nearest.join(x, "a").join(y, "b").filter(_close(percent)).select("a", "b")
-    links = ws.stage(_linked(near, plain, size, percent, ws), "links")
+    links = ws.stage(_linked(_near(nearest, drawn, "a", "b", percent), plain, size, percent, ws), "links")
 
     for whole in (False, True):
         roots = components(links, ws)
         placed = rare.join(roots.withColumnRenamed("v", "_id"), "_id", "left").withColumn("g", F.coalesce("root", "_id")).drop("root")
         several = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
-        grouped = ws.stage(placed.join(several, "token", "left_semi").join(drawn, "_id"), "grouped")
+        grouped = ws.stage(placed.join(several, "token", "left_semi").join(drawn.drop("wide"), "_id"), "grouped")
         # One member stands for its group under each token; the second time all do.
         held = grouped if whole else grouped.groupBy("token", "g").agg(
             F.min_by(F.struct("_id", "sets", "n", "sketch"), "_id").alias("head")
         ).select("token", "g", "head.*")
-        met = ws.stage(_meet(grouped, held, percent), "met")
+        met = _meet(grouped, held, percent).groupBy("_id", "other", "b").count()
+        met = ws.stage(_near(met, drawn, "_id", "b", percent), "met")
         bound = _qualify(met.select("_id", "other").distinct(), shared, roots)
         opened = met.join(bound, ["_id", "other"], "left_semi")
         if not whole:
-            opened = opened.groupBy("_id", "other", "b").count().groupBy("_id", "other").agg(
+            opened = opened.groupBy("_id", "other").agg(
                 F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
             )
         pairs = opened.select(F.col("_id").alias("a"), "b").distinct()

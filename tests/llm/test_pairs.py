@@ -84,3 +84,16 @@ def test_vectors_against_brute_force(spark, ws):
     assert all(by_id[10_000 + i]["n_links"] == 0 and by_id[10_000 + i]["kept"] for i in range(len(odd)))
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found if r["vec_id"] is not None)
     assert embeddings.near_duplicates(frame.limit(0), ws).count() == 0
+
+
+def test_sketches_never_count_more_than_the_sets_differ_in():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 250, 257, 1_000, 5_000, 40_000):
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for gone, added in ((0, 0), (n // 50, n // 20), (n // 9, 0), (n, 7), (n // 2, 3 * n)):
+            other = np.unique(np.concatenate([base[gone:], rng.integers(0, 1 << 63, added, dtype=np.uint64)]))
+            differ = len(np.setxor1d(base, other))
+            apart = jaccard.least_apart(jaccard.wide_sketch(base), jaccard.wide_sketch(other))
+            assert apart <= differ and apart == jaccard.least_apart(jaccard.wide_sketch(other), jaccard.wide_sketch(base))
+            if 0 < differ <= len(base) // 4:  # a small difference is hardly hidden
+                assert apart >= 0.6 * differ
