@@ -349,9 +349,13 @@ def _decoder(content: bytes) -> Decoder:
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens"
+    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens",
+    check: bool = False,
 ) -> DataFrame:
-    """``docs`` with ``ids_col`` (ids as little-endian unsigned 32-bit integers) and ``count_col`` (long)."""
+    """``docs`` with ``ids_col`` (ids as little-endian unsigned 32-bit integers) and ``count_col`` (long).
+
+    With ``check`` all ids are decoded again in the same worker, and a text that comes back changed fails.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
@@ -359,8 +363,13 @@ def encode(
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(ranks.value, pattern)
+        decoder = _decoder(ranks.value) if check else None
         for batch in batches:
-            yield pa.array([encoder.encode(x.as_py() or "") for x in batch], pa.binary())
+            texts = [x.as_py() or "" for x in batch]
+            ids = [encoder.encode(text) for text in texts]
+            if decoder and any(decoder.decode(found) != text for found, text in zip(ids, texts)):
+                raise ValueError("a text differs after decoding")
+            yield pa.array(ids, pa.binary())
 
     with_ids = docs.withColumn(ids_col, encoded.asNondeterministic()(F.col(text_col)))
     return with_ids.withColumn(count_col, (F.octet_length(ids_col) / 4).cast("long"))

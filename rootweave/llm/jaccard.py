@@ -104,6 +104,12 @@ class SizeClasses:
     def __init__(self, percent: int):
         self.percent = percent
 
+    @staticmethod
+    @cache
+    def shared(percent: int) -> SizeClasses:
+        """One table for all tasks of a worker."""
+        return SizeClasses(percent)
+
     @cache
     def start(self, number: int) -> int:
         return 1 if number == 0 else max(self.start(number - 1) + 1, int(self.start(number - 1) * GROWTH))
@@ -187,7 +193,7 @@ def _tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
     for the tokens of the next class. They are derived from the texts when needed and never kept."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, classes = Shingles(size), SizeClasses(percent)
+        shingles, classes = Shingles(size), SizeClasses.shared(percent)
         for batch in batches:
             ids, sides, tokens = [], [], []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -65,3 +65,8 @@ def test_frames(spark, odd, empty, library):
         assert array("I", row["ids"]).tolist() == expected and row["n_tokens"] == len(expected)
         assert row["decoded"] == (row["text"] or "")
     assert bpe.decode(bpe.encode(empty, RANKS, P.PATTERN), RANKS).count() == 0
+
+
+def test_checked_encoding_gives_the_same_ids(spark, odd):
+    plain, checked = (bpe.encode(odd.select("doc_id", "text"), RANKS, P.PATTERN, check=c) for c in (False, True))
+    assert sorted(map(str, checked.collect())) == sorted(map(str, plain.collect()))
