@@ -125,6 +125,20 @@ def test_bitmaps_beyond_one_slot(spark, ws):
     assert listed.count() == 70_000 and listed.select("seed_rel_id").distinct().count() == 70_000
 
 
+def test_bitmaps_of_scattered_seeds_are_as_short_as_the_seeds(spark, ws):
+    numbered = spark.range(1, 200).selectExpr("CAST(id AS STRING) AS seed_rel_id", "id * 997 AS v")
+    edges = numbered.selectExpr("'s' AS source_table", "seed_rel_id AS rel_id", "CAST(v % 80 AS STRING) AS id_key")
+    keys = hops.key_bitmaps(numbered, edges.unionByName(edges))
+    assert keys.filter(F.length(F.to_json(F.struct("seeds"))) > 500).isEmpty()
+    reached = hops.entity_bitmaps(keys, edges)
+    groups = {}
+    for rel, key in edges.select("rel_id", "id_key").collect():
+        groups.setdefault(key, []).append(rel)
+    pairs = {(x, y) for g in groups.values() for x in g for y in g}
+    assert sorted(tuple(r) for r in hops.listed_seeds(reached, numbered).collect()) == sorted(pairs)
+    assert {tuple(r) for r in hops.count_seeds(reached).collect()} == {(x, len(g)) for g in groups.values() for x in g}
+
+
 def test_a_closure_is_counted_without_its_pairs(spark, ws):
     edges = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2"), ("d", "2"), ("e", "2")], "rel_id string, id_key string")
     seeds = spark.createDataFrame([("a",), ("c",), ("d",), ("x",)], "seed_rel_id string")
