@@ -48,26 +48,30 @@ def connected_components(
     ws: Workspace,
     isolated: DataFrame | None = None,
     entity_hash=F.xxhash64,
+    rows: int | None = None,
 ) -> Components:
     """Label every entity of ``edges(rel_id, id_key)`` with its component.
 
     ``isolated(rel_id)`` adds entities that may have no edge at all. ``component_id``
-    is a number that no two components share.
+    is a number that no two components share. ``rows`` says how many rows both have together if they are
+    files already; otherwise they are staged first. Repeated rows do no harm.
     """
     pairs = edges.select("rel_id", "id_key")
     if isolated is not None:
         pairs = pairs.unionByName(isolated.select("rel_id", F.lit(None).cast("string").alias("id_key")))
-    pairs, counted = ws.stage_counted(pairs.distinct(), "pairs")
-    ws.expect(counted["rows"])
+    if rows is None:
+        pairs, counted = ws.stage_counted(pairs, "pairs")
+        rows = counted["rows"]
+    ws.expect(rows)
 
     # Entities are numbered by a hash, so that the rounds move 64-bit numbers only.
     # Should two entities share a number, the labels show it and numbering is repeated.
     numbered = pairs.withColumn("v", entity_hash(F.col("rel_id")).cast("bigint"))
-    labels, seen, rounds = label(numbered, counted["rows"], ws)
+    labels, seen, rounds = label(numbered, rows, ws)
     if seen["clashes"]:
         names = number_apart(pairs, ws, entity_hash)
-        numbered = skew_join(pairs, names, "rel_id", hot_keys(pairs, "rel_id", counted["rows"]))
-        labels, seen, rounds = label(numbered, counted["rows"], ws)
+        numbered = skew_join(pairs, names, "rel_id", hot_keys(pairs, "rel_id", rows))
+        labels, seen, rounds = label(numbered, rows, ws)
     return Components(labels, hot_keys(labels, "component_id", seen["rows"]), seen["rows"], rounds)
 
 
@@ -112,18 +116,17 @@ def star_edges(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, d
     """Replace the entities on each identifier by links to the smallest of them; the edges, and what was counted.
 
     An identifier with n entities gives n - 1 edges (a, b); one with a single entity
-    gives none and does not take part in the join.
+    gives none and does not take part in the join. Without hot identifiers the rows are dealt to them once: the
+    smallest entities and the join with these read the same shuffle. Otherwise the join spreads the hot ones.
     """
-    keyed = pairs.filter(F.col("id_key").isNotNull()).select("id_key", "v")
-    centres = (
-        keyed.groupBy("id_key")
-        .agg(F.min("v").alias("centre"), F.max("v").alias("top"), F.count(F.lit(1)).alias("n"))
-        .filter("centre < top")
-    )
-    hubs = centres.filter(F.col("n") > hot_limit(rows)).select("id_key", salt_groups("n"))
+    keyed = pairs.filter("id_key IS NOT NULL AND v IS NOT NULL").select("id_key", "v")
+    hubs, found = ws.stage_counted(hot_keys(keyed, "id_key", rows), "hubs")
+    dealt = keyed if found["rows"] else keyed.repartition("id_key")
+    centres = dealt.groupBy("id_key").agg(F.min("v").alias("centre"), F.max("v").alias("top")).filter("centre < top")
+    centres = centres.select("id_key", "centre")
+    met = skew_join(dealt, centres, "id_key", hubs) if found["rows"] else dealt.join(centres.hint("shuffle_hash"), "id_key")
     spokes = (
-        skew_join(keyed, centres.select("id_key", "centre"), "id_key", hubs)
-        .filter("v <> centre")
+        met.filter("v <> centre")
         .select(F.col("centre").alias("a"), F.col("v").alias("b"))
         .distinct()
     )

@@ -17,9 +17,9 @@ def seeds_as_entities(seeds: DataFrame) -> DataFrame:
     return seeds.select(F.col("seed_rel_id").alias("rel_id"))
 
 
-def components_with_seeds(edges: DataFrame, seeds: DataFrame, ws: Workspace) -> Components:
-    """Components of all entities with an edge and of all seeds, even those without one."""
-    return connected_components(edges, ws, isolated=seeds_as_entities(seeds))
+def components_with_seeds(edges: DataFrame, seeds: DataFrame, ws: Workspace, rows: int | None = None) -> Components:
+    """Components of all entities with an edge and of all seeds, even those without one. ``rows``: see :func:`connected_components`."""
+    return connected_components(edges, ws, isolated=seeds_as_entities(seeds), rows=rows)
 
 
 def seeded_components(found: Components, seeds: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from rootweave.operators.numbering import dense_numbers
 from rootweave.operators.skew import BROADCAST_ROWS, Keys, anti_join, hot_keys, semi_join, skew_join, stage_keys
 from rootweave.plans import state
 from rootweave.sources.tables import (
+    append_rows,
     drop_table,
     ensure_database,
     ensure_table,
@@ -45,8 +46,8 @@ COMPONENTS = "component_snapshot"
 DIGESTS = "source_digest"
 # The last column of the first three is what they are partitioned by.
 STATE_SCHEMAS = {
-    EDGES: f"source_table STRING, rel_id STRING, id_key STRING, h BIGINT, g BIGINT, sign INT, {state.BUCKET} INT",
-    SEEDS: f"seed_rel_id STRING, h BIGINT, g BIGINT, sign INT, {state.BUCKET} INT",
+    EDGES: f"source_table STRING, rel_id STRING, id_key STRING, sign INT, {state.BUCKET} INT",
+    SEEDS: f"seed_rel_id STRING, sign INT, {state.BUCKET} INT",
     COMPONENTS: f"rel_id STRING, component_id BIGINT, {state.BUCKET} INT",
     DIGESTS: f"relation STRING, {state.BUCKET} INT, n BIGINT, low BIGINT, high BIGINT",
 }
@@ -106,8 +107,11 @@ def ensure_tables(spark: SparkSession, cfg: MappingConfig) -> None:
 def committed_run(spark: SparkSession, cfg: MappingConfig) -> str | None:
     """The run that wrote the output and all state tables, or None if they disagree.
 
-    The run is stamped together with the edge scope, so a changed scope starts afresh.
+    The run is stamped together with the edge scope, so a changed scope starts afresh, and so do logs of other columns.
     """
+    for table in (EDGES, SEEDS):
+        if spark.table(cfg.state(table)).columns != [c.split()[0] for c in STATE_SCHEMAS[table].split(", ")]:
+            return None
     runs = {get_property(spark, t, RUN_ID) for t in [cfg.output, *state_tables(cfg)]}
     run = runs.pop() if len(runs) == 1 else None
     return run if run and run.startswith(f"{cfg.edge_scope}-") else None
@@ -180,13 +184,12 @@ def enforce_active(mapping: DataFrame, seeds: DataFrame, ws: Workspace) -> DataF
 
 
 def numbered_labels(labels: DataFrame, start: int, ws: Workspace) -> tuple[DataFrame, int]:
-    """(rel_id, component_id) with components numbered from ``start`` on, and the number after the last.
+    """(rel_id, component_id) of staged ``labels`` with components numbered from ``start`` on, and the number after the last.
 
     Numbers are never issued twice, so a component of an earlier run cannot be mistaken for one of this run.
     """
-    labels, counted = ws.stage_counted(labels.select("rel_id", "component_id"), "labels")
     numbers, components = dense_numbers(labels.select("component_id").distinct(), ["component_id"], ws, start, "number")
-    hot = hot_keys(labels, "component_id", counted["rows"])
+    hot = hot_keys(labels, "component_id", labels.count())
     return skew_join(labels, numbers, "component_id", hot).select("rel_id", F.col("number").alias("component_id")), start + components
 
 
@@ -241,12 +244,12 @@ def _start(spark, cfg, tables, relations, buckets: int, ws: Workspace) -> RunSta
     logs = {EDGES: edge_rows(tables, cfg), SEEDS: relations[SEED_RELATION]}
     added = {}
     for table, rows in logs.items():
-        state.append_buckets(state.whole_log(rows, buckets), cfg.state(table))
+        append_rows(state.whole_log(rows, buckets), cfg.state(table))
         added[table] = spark.table(cfg.state(table)).count()
 
     edges = spark.table(cfg.state(EDGES)).select(EDGE_COLUMNS)
     seeds = spark.table(cfg.state(SEEDS)).select("seed_rel_id")
-    found = components_with_seeds(edges, seeds, ws)
+    found = components_with_seeds(edges, seeds, ws, sum(added.values()))
     mapping = assign_roots(found, seeds)
     if cfg.carry_forward:
         kept = anti_join(output_rows(spark, cfg), Keys(found.labels.select("rel_id"), found.entities), "rel_id").distinct()

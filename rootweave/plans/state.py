@@ -21,13 +21,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.operators.skew import BROADCAST_ROWS
 from rootweave.sources.tables import append_rows
 from rootweave.workspace import ROWS_PER_TASK, Workspace, count_while_writing
 
 BUCKET = "bucket"
 LEAST_BUCKETS, MOST_BUCKETS = 16, 8_192
 LONGEST = 2
+SLICES = 8  # of a bucket when its log is first written
 SLACK = 1_000  # rows of a log that are not worth a rewrite
 OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
 Digests = dict[tuple[str, int], tuple[int, int, int]]
@@ -80,38 +80,27 @@ def changed_buckets(before: Digests, now: Digests, relations: Iterable[str]) ->
     return sorted({key[1] for key in before.keys() | now.keys() if key[0] in names and before.get(key) != now.get(key)})
 
 
-def fingerprint(columns: Iterable[str]) -> dict[str, Column]:
-    """Two independent hashes of a row, by which it is compared."""
-    columns = list(columns)
-    return {"h": F.xxhash64(*columns), "g": F.xxhash64(F.lit(1), *columns)}
-
-
 def changes(log: DataFrame, rows: DataFrame, buckets: int, changed: list[int], ws: Workspace) -> tuple[DataFrame, dict]:
-    """(..., h, g, bucket, sign): what came (1) and went (-1) in the changed buckets, staged, and how many rows of either kind.
+    """(..., sign, bucket): what came (1) and went (-1) in the changed buckets, staged, and how many rows of either kind.
 
-    Rows are matched by their 128-bit fingerprints, of which the log holds its own, so that numbers are shuffled and no
-    text; the text of what changed is then picked from the log and the source.
+    Both sides meet in one shuffle of their short texts, which are summed up by row.
     """
-    now = with_bucket(rows, buckets).filter(in_buckets(changed)).withColumns(fingerprint(rows.columns))
-    old = log.filter(in_buckets(changed))
-    sums = old.select("h", "g", "sign", F.lit(0).alias("now")).unionByName(
-        now.select("h", "g", F.lit(0).alias("sign"), F.lit(1).alias("now"))
-    ).groupBy("h", "g").agg(F.sum("sign").alias("was"), F.max("now").alias("now"))
-    found, counted = ws.stage_counted(
-        sums.filter(F.col("was") != F.col("now")).select("h", "g", (F.col("now") - F.col("was")).cast("int").alias("moved")), "moved",
-        added=F.count_if(F.col("moved") > 0), removed=F.count_if(F.col("moved") < 0),
-    )
-    marks = F.broadcast(found) if counted["rows"] <= BROADCAST_ROWS else found
-    columns = [*rows.columns, "h", "g", BUCKET]
-    came = now.join(marks.filter("moved > 0"), ["h", "g"]).select(*columns, F.lit(1).alias("sign"))
-    went = old.join(marks.filter("moved < 0"), ["h", "g"]).select(*columns, F.lit(-1).alias("sign"))
-    return ws.stage(came.unionByName(went).distinct(), "changes"), counted
+    columns = rows.columns
+    now = with_bucket(rows, buckets).filter(in_buckets(changed)).select(*columns, F.lit(0).alias("sign"), F.lit(1).alias("now"))
+    old = log.filter(in_buckets(changed)).select(*columns, "sign", F.lit(0).alias("now"))
+    sums = old.unionByName(now).groupBy(*columns).agg(F.sum("sign").alias("was"), F.max("now").alias("now"))
+    sign = (F.col("now") - F.col("was")).cast("int").alias("sign")
+    moved = sums.filter(F.col("was") != F.col("now")).select(*columns, sign, bucket_of(columns, buckets).alias(BUCKET))
+    return ws.stage_counted(moved, "changes", added=F.count_if(F.col("sign") > 0), removed=F.count_if(F.col("sign") < 0))
 
 
 def whole_log(rows: DataFrame, buckets: int) -> DataFrame:
-    """The log of a relation that nothing is known of: its distinct rows, in one shuffle."""
-    distinct = with_bucket(rows, buckets).repartition(BUCKET).distinct()
-    return distinct.withColumns(fingerprint(rows.columns)).withColumn("sign", F.lit(1))
+    """The log of a relation that nothing is known of: its distinct rows, in one shuffle.
+
+    A bucket is dealt in slices, so that no task gets several whole buckets; what is short is merged by adaptive execution.
+    """
+    part = F.pmod(F.xxhash64(F.lit(2), *rows.columns), F.lit(SLICES)).cast("int")
+    return with_bucket(rows, buckets).withColumn("_slice", part).repartition(BUCKET, "_slice").distinct().drop("_slice").withColumn("sign", F.lit(1))
 
 
 def compact(spark: SparkSession, table: str, touched: list[int]) -> list[int]:
@@ -120,7 +109,7 @@ def compact(spark: SparkSession, table: str, touched: list[int]) -> list[int]:
     long = [r[BUCKET] for r in sizes.collect() if r["n"] > LONGEST * r["net"] + SLACK]
     if long:
         log = spark.table(table).filter(in_buckets(long))
-        columns = [c for c in log.columns if c not in (BUCKET, "sign")]  # h and g follow from the others
+        columns = [c for c in log.columns if c not in (BUCKET, "sign")]
         kept = log.groupBy(BUCKET, *columns).agg(F.sum("sign").cast("int").alias("sign")).filter("sign > 0")
         overwrite_buckets(kept, table, long)
     return long

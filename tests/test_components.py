@@ -104,3 +104,25 @@ def test_rotation_can_be_turned_back(spark, bits):
     back = components.rotate(components.rotate(F.col("x"), bits), -bits)
     assert df.filter(back != F.col("x")).count() == 0
     assert df.select(components.rotate(F.col("x"), bits)).distinct().count() == 100
+
+
+def test_stars_read_one_shuffle_unless_an_identifier_is_hot(spark, ws):
+    class Kept:
+        """A workspace that keeps plans instead of files."""
+
+        def stage_counted(self, df, label, **_):
+            return (df, {"rows": df.count()}) if label == "hubs" else (df, {"rows": None})
+
+    pairs = spark.range(4_000).selectExpr("CAST(id % 900 AS STRING) AS id_key", "id AS v")
+    pairs = pairs.unionByName(pairs).unionByName(spark.createDataFrame([(None, 9_000)], "id_key string, v bigint"))
+    hub = pairs.unionByName(spark.range(5_000, 6_000).selectExpr("'7' AS id_key", "id AS v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, spread = (components.star_edges(p, 8_000, Kept())[0] for p in (pairs, hub))
+        expected = {(v % 900, v) for v in range(900, 4_000)}
+        assert {tuple(r) for r in plain.collect()} == expected
+        assert "ReusedExchange" in plain._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in spread.collect()} == expected | {(7, v) for v in range(5_000, 6_000)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

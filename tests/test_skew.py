@@ -49,3 +49,13 @@ def test_semi_and_anti_join_on_both_paths(sides, ws, monkeypatch, limit):
     inside, outside = skew.semi_join(big, keys, "k"), skew.anti_join(big, keys, "k")
     assert inside.filter("k >= 400").isEmpty() and outside.filter("k < 400").isEmpty()
     assert inside.count() + outside.count() == 20_000
+
+
+def test_hot_keys_are_found_without_shuffling_rows(sides):
+    big, _ = sides
+    text = big.select(F.concat(F.lit("k"), "k").alias("k")).unionByName(big.limit(900).select(F.lit(None).cast("string").alias("k")))
+    for df, key in ((big, 0), (text, "k0")):
+        hot = skew.hot_keys(df, "k", 20_000)
+        assert "hashpartitioning" not in hot._jdf.queryExecution().executedPlan().toString()
+        assert [r.k for r in hot.collect()] == [key]
+    assert skew.hot_keys(big.filter("k < 0"), "k", 0).isEmpty()

@@ -106,3 +106,40 @@ def test_a_bucket_that_loses_all_rows_is_dropped(spark, ws):
     state.overwrite_buckets(spark.table(table).filter("x = 'b'").withColumn("x", F.lit("B")), table, [1, 2])
     assert {tuple(r) for r in spark.table(table).collect()} == {("B", 2), ("c", 3)} and files(spark, table)[3] == kept
     assert spark.conf.get(state.OVERWRITE_SETTING).lower() == "static"
+
+
+def test_logs_of_other_columns_lead_to_a_rebuild(spark, world):
+    spark.sql(f"ALTER TABLE {world.cfg.state(refresh.EDGES)} ADD COLUMNS (h BIGINT)")
+    world.join("9000", "k7")
+    assert world.refresh().changed_edges == 601
+    world.check()
+    world.join("9001", "k7")
+    assert world.refresh().changed_edges == 1
+
+
+def test_a_first_log_is_dealt_in_slices_of_buckets(spark):
+    rows = spark.range(20_000).selectExpr("CAST(id AS STRING) AS x")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {c: spark.conf.get(c) for c in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sizes = state.whole_log(rows.unionByName(rows), 2).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 10_000 * 0.6
+
+
+def test_changes_are_found_in_one_shuffle(spark, ws, monkeypatch):
+    log = spark.range(3_000).selectExpr("CAST(id AS STRING) AS x")
+    log = state.with_bucket(log, 4).withColumn("sign", F.lit(1))
+    log = log.unionByName(log.filter("x = '7'").withColumn("sign", F.lit(-1)))
+    now = spark.range(5, 3_010).selectExpr("CAST(id AS STRING) AS x")
+    plans = []
+    real = ws.stage_counted
+    monkeypatch.setattr(ws, "stage_counted", lambda df, *a, **m: plans.append(df) or real(df, *a, **m))
+    found, counted = state.changes(log, now.unionByName(now), 4, [0, 1, 2, 3], ws)
+    assert (counted["added"], counted["removed"], counted["rows"]) == (11, 5, 16)
+    assert {(r["x"], r["sign"]) for r in found.collect()} == {(str(i), -1) for i in range(5)} | {(str(i), 1) for i in (7, *range(3_000, 3_010))}
+    assert sum(p._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") for p in plans) == 1
