@@ -207,7 +207,7 @@ def refresh_mapping(spark: SparkSession, cfg: MappingConfig) -> RunStats:
         ws.expect(rows)
         relations = source_relations(tables, cfg)
         if committed_run(spark, cfg) is None:
-            return _start(spark, cfg, tables, relations, state.buckets_for(rows), ws)
+            return _start(spark, cfg, tables, relations, rows, ws)
         return _update(spark, cfg, tables, relations, ws)
 
 
@@ -234,8 +234,9 @@ def _finish(spark: SparkSession, cfg: MappingConfig, digests: state.Digests) ->
     stamp(spark, cfg, f"{cfg.edge_scope}-{uuid.uuid4().hex}")
 
 
-def _start(spark, cfg, tables, relations, buckets: int, ws: Workspace) -> RunStats:
-    """Full rebuild, and the state that later runs start from."""
+def _start(spark, cfg, tables, relations, number: int, ws: Workspace) -> RunStats:
+    """Full rebuild, and the state that later runs start from. ``number`` is how many rows the sources have."""
+    buckets = state.buckets_for(number)
     stamp(spark, cfg, "")
     digests = state.digests(relations, buckets)
     for table in (EDGES, SEEDS, COMPONENTS):
@@ -244,7 +245,7 @@ def _start(spark, cfg, tables, relations, buckets: int, ws: Workspace) -> RunSta
     logs = {EDGES: edge_rows(tables, cfg), SEEDS: relations[SEED_RELATION]}
     added = {}
     for table, rows in logs.items():
-        append_rows(state.whole_log(rows, buckets), cfg.state(table))
+        append_rows(state.whole_log(rows, buckets, number), cfg.state(table))
         added[table] = spark.table(cfg.state(table)).count()
 
     edges = spark.table(cfg.state(EDGES)).select(EDGE_COLUMNS)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootweave.sources.tables import append_rows
-from rootweave.workspace import ROWS_PER_TASK, Workspace, count_while_writing
+from rootweave.workspace import ROWS_PER_TASK, Workspace, count_while_writing, deal
 
 BUCKET = "bucket"
 LEAST_BUCKETS, MOST_BUCKETS = 16, 8_192
@@ -94,13 +94,15 @@ def changes(log: DataFrame, rows: DataFrame, buckets: int, changed: list[int], w
     return ws.stage_counted(moved, "changes", added=F.count_if(F.col("sign") > 0), removed=F.count_if(F.col("sign") < 0))
 
 
-def whole_log(rows: DataFrame, buckets: int) -> DataFrame:
+def whole_log(rows: DataFrame, buckets: int, number: int = 0) -> DataFrame:
     """The log of a relation that nothing is known of: its distinct rows, in one shuffle.
 
-    A bucket is dealt in slices, so that no task gets several whole buckets; what is short is merged by adaptive execution.
+    A bucket is dealt in slices, so that no task gets several whole buckets. ``number`` is how many rows there are at most:
+    if they are many, it decides on the tasks; what is short is merged by adaptive execution.
     """
     part = F.pmod(F.xxhash64(F.lit(2), *rows.columns), F.lit(SLICES)).cast("int")
-    return with_bucket(rows, buckets).withColumn("_slice", part).repartition(BUCKET, "_slice").distinct().drop("_slice").withColumn("sign", F.lit(1))
+    dealt = deal(with_bucket(rows, buckets).withColumn("_slice", part), number, BUCKET, "_slice")
+    return dealt.distinct().drop("_slice").withColumn("sign", F.lit(1))
 
 
 def compact(spark: SparkSession, table: str, touched: list[int]) -> list[int]:

@@ -19,6 +19,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
 # Rows that one task should get after a shuffle; edges and labels take some 50 bytes each.
 ROWS_PER_TASK = 2_000_000
+# Rows that a task gets where it keeps several copies of them in memory, as it does to sort or to make distinct.
+ROWS_PER_DEAL = 250_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -127,6 +129,15 @@ class Workspace:
             fs.deleteOnExit(path)
 
 
+def deal(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """``df`` dealt by ``columns``; the tasks are as many as its ``rows`` need, and adaptive execution does not merge them.
+
+    So what one task holds does not grow with the input. Few rows are dealt as the session's settings say.
+    """
+    tasks = rows // ROWS_PER_DEAL
+    return df.repartition(tasks, *columns) if tasks >= 8 else df.repartition(*columns)
+
+
 def count_while_writing(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     """``df`` and an observation of its ``rows`` and of other aggregates, filled by the next write."""
     seen = Observation()

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from rootweave import workspace
 from rootweave.plans import refresh, state
 from tests.world import World
 
@@ -143,3 +144,12 @@ def test_changes_are_found_in_one_shuffle(spark, ws, monkeypatch):
     assert (counted["added"], counted["removed"], counted["rows"]) == (11, 5, 16)
     assert {(r["x"], r["sign"]) for r in found.collect()} == {(str(i), -1) for i in range(5)} | {(str(i), 1) for i in (7, *range(3_000, 3_010))}
     assert sum(p._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") for p in plans) == 1
+
+
+def test_what_a_task_of_a_first_log_gets_does_not_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "ROWS_PER_DEAL", 1_000)
+    for number in (10_000, 40_000):
+        rows = spark.range(number).selectExpr("CAST(id AS STRING) AS x")
+        log = state.whole_log(rows, 64, number)
+        assert log.rdd.getNumPartitions() == number // 1_000 and log.count() == number
+        assert max(r["count"] for r in log.groupBy(F.spark_partition_id()).count().collect()) < 3_500
