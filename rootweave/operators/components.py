@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rootweave.operators.skew import hot_keys, hot_limit, salt_groups, skew_join
 from rootweave.sources.fs import Folder
-from rootweave.workspace import Workspace, count_while_writing
+from rootweave.workspace import Workspace, count_while_writing, deal
 
 
 # Rounds without fewer edges after which the contraction is given up; each round should have fewer.
@@ -34,13 +34,16 @@ class Components:
     """``labels(rel_id, component_id)`` for every entity, staged.
 
     ``hot`` lists the few components that hold a large share of all entities, so that
-    joins on ``component_id`` can spread them. ``rounds`` is how many were needed.
+    joins on ``component_id`` can spread them. ``rounds`` is how many were needed. ``marked`` are the labels of
+    the entities in ``isolated``, the frame that was given under that name.
     """
 
     labels: DataFrame
     hot: DataFrame
     entities: int
     rounds: int
+    isolated: DataFrame | None = None
+    marked: DataFrame | None = None
 
 
 def connected_components(
@@ -56,9 +59,9 @@ def connected_components(
     is a number that no two components share. ``rows`` says how many rows both have together if they are
     files already; otherwise they are staged first. Repeated rows do no harm.
     """
-    pairs = edges.select("rel_id", "id_key")
+    pairs = edges.select("rel_id", "id_key", F.lit(False).alias("isolated"))
     if isolated is not None:
-        pairs = pairs.unionByName(isolated.select("rel_id", F.lit(None).cast("string").alias("id_key")))
+        pairs = pairs.unionByName(isolated.select("rel_id", F.lit(None).cast("string").alias("id_key"), F.lit(True).alias("isolated")))
     if rows is None:
         pairs, counted = ws.stage_counted(pairs, "pairs")
         rows = counted["rows"]
@@ -66,28 +69,32 @@ def connected_components(
 
     # Entities are numbered by a hash, so that the rounds move 64-bit numbers only.
     # Should two entities share a number, the labels show it and numbering is repeated.
-    numbered = pairs.withColumn("v", entity_hash(F.col("rel_id")).cast("bigint"))
-    labels, seen, rounds = label(numbered, rows, ws)
+    number = entity_hash(F.col("rel_id")).cast("bigint")
+    # Only names move, the numbers follow from them.
+    names = pairs.groupBy("rel_id").agg(F.max("isolated").alias("isolated"))
+    labels, seen, rounds = label(pairs.withColumn("v", number), names.withColumn("v", number), rows, ws)
     if seen["clashes"]:
-        names = number_apart(pairs, ws, entity_hash)
-        numbered = skew_join(pairs, names, "rel_id", hot_keys(pairs, "rel_id", rows))
-        labels, seen, rounds = label(numbered, rows, ws)
-    return Components(labels, hot_keys(labels, "component_id", seen["rows"]), seen["rows"], rounds)
+        apart = number_apart(pairs, ws, entity_hash)
+        numbered = skew_join(pairs, apart, "rel_id", hot_keys(pairs, "rel_id", rows))
+        labels, seen, rounds = label(numbered, names.join(apart, "rel_id"), rows, ws)
+    found = labels.select("rel_id", "component_id")
+    hot = hot_keys(found, "component_id", seen["rows"])
+    return Components(found, hot, seen["rows"], rounds, isolated, labels.filter("isolated").select("rel_id", "component_id"))
 
 
-def label(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, dict, int]:
-    """Labels of ``pairs(rel_id, id_key, v)``, what was counted, and the rounds it took."""
+def label(pairs: DataFrame, names: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, dict, int]:
+    """Labels of ``pairs(rel_id, id_key, v)``, what was counted, and the rounds it took. ``names(rel_id, v, isolated)`` are its entities."""
     edges, seen = star_edges(pairs, rows, ws)
     levels = contract(edges, seen["rows"], ws, Rounds(ws, seen) if ws.name else None)
-    names = pairs.select("v", "rel_id").distinct().groupBy("v").agg(
-        F.min("rel_id").alias("rel_id"), F.max("rel_id").alias("last")
+    names = names.groupBy("v").agg(
+        F.min("rel_id").alias("rel_id"), F.max("rel_id").alias("last"), F.max("isolated").alias("isolated")
     )
     if levels:
         names = names.join(follow(levels), "v", "left")
     else:
         names = names.withColumn("root", F.col("v"))
     labels, seen = ws.stage_counted(
-        names.select("rel_id", F.coalesce("root", "v").alias("component_id"), "last"),
+        names.select("rel_id", F.coalesce("root", "v").alias("component_id"), "isolated", "last"),
         "labels",
         clashes=F.count_if(F.col("rel_id") != F.col("last")),
     )
@@ -121,7 +128,7 @@ def star_edges(pairs: DataFrame, rows: int, ws: Workspace) -> tuple[DataFrame, d
     """
     keyed = pairs.filter("id_key IS NOT NULL AND v IS NOT NULL").select("id_key", "v")
     hubs, found = ws.stage_counted(hot_keys(keyed, "id_key", rows), "hubs")
-    dealt = keyed if found["rows"] else keyed.repartition("id_key")
+    dealt = keyed if found["rows"] else deal(keyed, rows, "id_key")
     centres = dealt.groupBy("id_key").agg(F.min("v").alias("centre"), F.max("v").alias("top")).filter("centre < top")
     centres = centres.select("id_key", "centre")
     met = skew_join(dealt, centres, "id_key", hubs) if found["rows"] else dealt.join(centres.hint("shuffle_hash"), "id_key")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ def seeds_as_entities(seeds: DataFrame) -> DataFrame:
 
 def components_with_seeds(edges: DataFrame, seeds: DataFrame, ws: Workspace, rows: int | None = None) -> Components:
     """Components of all entities with an edge and of all seeds, even those without one. ``rows``: see :func:`connected_components`."""
-    return connected_components(edges, ws, isolated=seeds_as_entities(seeds), rows=rows)
+    return replace(connected_components(edges, ws, isolated=seeds_as_entities(seeds), rows=rows), isolated=seeds)
 
 
 def seeded_components(found: Components, seeds: DataFrame) -> DataFrame:
@@ -30,10 +30,15 @@ def seeded_components(found: Components, seeds: DataFrame) -> DataFrame:
 
 
 def assign_roots(found: Components, seeds: DataFrame) -> DataFrame:
-    """(rel_id, root_id): the best seed of each component, for all its entities."""
-    winners = seeded_components(found, seeds).groupBy("component_id").agg(
-        better_root("seed_rel_id").alias("root_id")
-    )
+    """(rel_id, root_id): the best seed of each component, for all its entities.
+
+    If the components were made with these very seeds, they are marked in the labels and need not be looked up.
+    """
+    if found.marked is not None and found.isolated is seeds:
+        seeded = found.marked.filter("rel_id IS NOT NULL").withColumnRenamed("rel_id", "seed_rel_id")
+    else:
+        seeded = seeded_components(found, seeds)
+    winners = seeded.groupBy("component_id").agg(better_root("seed_rel_id").alias("root_id"))
     return skew_join(found.labels, winners, "component_id", found.hot).select("rel_id", "root_id")
 
 

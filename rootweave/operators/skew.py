@@ -18,6 +18,10 @@ HOT_SHARE = 256
 SALTS = 64
 # Key lists up to this many rows are broadcast outright.
 BROADCAST_ROWS = 500_000
+# A longer list is first broadcast as a filter of so many bits a key, in 64-bit words, of which there are at most MOST_WORDS.
+# Rows it lets through are joined with the list itself, so a full filter costs time and nothing else.
+FILTER_BITS = 8
+MOST_WORDS = 1 << 19
 # Items a sketch tracks for each key that may be hot; what it then misses of a count is far below the limit.
 TRACKED = 16
 SKETCHED = (DateType, IntegerType, LongType, StringType, TimestampNTZType, TimestampType)
@@ -83,15 +87,44 @@ def stage_keys(df: DataFrame, ws: Workspace, label: str) -> Keys:
     return Keys(frame, counted["rows"])
 
 
+def may_hold(keys: Keys, key: str) -> DataFrame:
+    """(_word, _bits): a bitmap of the hashes of a long list, to be broadcast."""
+    size = _words(keys)
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * size))
+    placed = keys.frame.filter(F.col(key).isNotNull()).select(
+        F.shiftright(place, 6).alias("_word"), F.expr("1L").alias("_one"), place.bitwiseAND(F.lit(63)).cast("int").alias("_place"))
+    return placed.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(_one, _place)")).alias("_bits"))
+
+
+def _words(keys: Keys) -> int:
+    return max(1, min(MOST_WORDS, keys.rows * FILTER_BITS // 64))
+
+
+def marked(big: DataFrame, keys: Keys, key: str) -> DataFrame:
+    """``big`` with ``_maybe``: false where the key is certainly not in the long list ``keys``. No row is shuffled."""
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * _words(keys)))
+    placed = big.withColumns({"_word": F.shiftright(place, 6), "_place": place.bitwiseAND(F.lit(63)).cast("int")})
+    found = placed.join(F.broadcast(may_hold(keys, key)), "_word", "left")
+    maybe = F.coalesce(F.expr("shiftrightunsigned(_bits, _place) & 1") == 1, F.lit(False))
+    return found.select(*big.columns, maybe.alias("_maybe"))
+
+
 def semi_join(big: DataFrame, keys: Keys, key: str, how: str = "left_semi") -> DataFrame:
     """Rows of ``big`` whose key is in ``keys``.
 
-    A list known to be short is broadcast, so ``big`` is not moved at all; a long one is
-    joined by shuffle with the hot keys spread.
+    A list known to be short is broadcast, so ``big`` is not moved at all. Of a long one a filter is broadcast; only rows that
+    pass it are joined with the list by shuffle, with the hot keys spread, and the others are settled where they are.
     """
     if keys.rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(keys.frame), key, how)
-    return skew_join(big, keys.frame, key, hot_keys(big, key, big.count()), how)
+    if dict(big.dtypes)[key] != dict(keys.frame.dtypes)[key]:  # equal values of other types have other hashes
+        return skew_join(big, keys.frame, key, hot_keys(big, key, big.count()), how)
+    seen = marked(big, keys, key)
+    near = seen.filter("_maybe").drop("_maybe")
+    joined = skew_join(near, keys.frame, key, hot_keys(near, key, big.count()), how)
+    if how == "left_semi":
+        return joined
+    return joined.unionByName(seen.filter("NOT _maybe").drop("_maybe"))
 
 
 def anti_join(big: DataFrame, keys: Keys, key: str) -> DataFrame:

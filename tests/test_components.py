@@ -126,3 +126,13 @@ def test_stars_read_one_shuffle_unless_an_identifier_is_hot(spark, ws):
         assert {tuple(r) for r in spread.collect()} == expected | {(7, v) for v in range(5_000, 6_000)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_seeds_are_marked_in_the_labels_and_not_looked_up(spark, ws, monkeypatch):
+    edges = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "b"), (None, "c")], EDGE)
+    seeds = spark.createDataFrame([("2",), ("2",), ("9",), (None,)], "seed_rel_id string")
+    found = mapping.components_with_seeds(edges, seeds, ws)
+    looked_up = mapping.assign_roots(found, seeds.select("seed_rel_id"))
+    monkeypatch.setattr(mapping, "seeded_components", None)
+    marked = mapping.assign_roots(found, seeds)
+    assert sorted(map(tuple, marked.collect())) == sorted(map(tuple, looked_up.collect())) == [("1", "2"), ("2", "2"), ("9", "9")]

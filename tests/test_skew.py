@@ -59,3 +59,32 @@ def test_hot_keys_are_found_without_shuffling_rows(sides):
         assert "hashpartitioning" not in hot._jdf.queryExecution().executedPlan().toString()
         assert [r.k for r in hot.collect()] == [key]
     assert skew.hot_keys(big.filter("k < 0"), "k", 0).isEmpty()
+
+
+def test_rows_that_are_certainly_not_in_a_long_list_are_not_shuffled(spark, ws, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    big = spark.range(40_000).select(F.when(F.col("id") % 9 > 0, F.col("id").cast("string")).alias("k"), "id")
+    keys = skew.stage_keys(spark.range(0, 40_000, 40).select(F.col("id").cast("string").alias("k")), ws, "keys")
+    spread = []
+    plain = skew.skew_join
+    monkeypatch.setattr(skew, "skew_join", lambda rows, *rest: spread.append(rows.count()) or plain(rows, *rest))
+    inside, outside = skew.semi_join(big, keys, "k"), skew.anti_join(big, keys, "k")
+    wanted = {i for i in range(0, 40_000, 40) if i % 9}
+    assert {r.id for r in inside.collect()} == wanted
+    left = [r.id for r in outside.collect()]
+    assert len(left) == 40_000 - len(wanted) and not wanted & set(left)
+    assert max(spread) < 10_000
+
+
+def test_keys_of_another_type_than_the_list_are_found(spark, ws, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    keys = skew.stage_keys(spark.range(5).selectExpr("CAST(id AS INT) AS k"), ws, "keys")
+    assert skew.semi_join(spark.range(10).withColumnRenamed("id", "k"), keys, "k").count() == 5
+
+
+def test_a_full_filter_loses_no_row(spark, ws, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "MOST_WORDS", 1)
+    keys = skew.stage_keys(spark.range(500).withColumnRenamed("id", "k"), ws, "keys")
+    big = spark.range(1_000).withColumnRenamed("id", "k")
+    assert skew.semi_join(big, keys, "k").count() == 500 and skew.anti_join(big, keys, "k").count() == 500
