@@ -25,16 +25,15 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm.common import small_batches
+from rootweave.llm.common import begin, kept, small_batches
 
 # Entries kept per Python worker before a cache starts anew; results do not depend on them.
-MEMO = 160_000
+MEMO = 80_000
 PAIRS = 200_000
 END = 1 << 40  # later than every rank
 
@@ -338,12 +337,12 @@ class Decoder:
         return "".join(out)
 
 
-@cache
+@kept
 def _encoder(content: bytes, pattern: str) -> Encoder:
     return Encoder(parse_ranks(content), pattern)
 
 
-@cache
+@kept
 def _decoder(content: bytes) -> Decoder:
     return Decoder(parse_ranks(content))
 
@@ -362,6 +361,7 @@ def encode(
 
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("bpe")
         encoder = _encoder(ranks.value, pattern)
         decoder = _decoder(ranks.value) if check else None
         for batch in batches:
@@ -383,6 +383,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", text_col:
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("bpe")
         decoder = _decoder(ranks.value)
         for batch in batches:
             yield pa.array([decoder.decode(x.as_py() or b"") for x in batch], pa.string())

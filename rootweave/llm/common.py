@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+# Of a Python worker: how its caches are emptied, and the operator that its last task belonged to.
+_emptied: list[Callable[[], None]] = []
+_running = [""]
+
+
+def kept(make: Callable) -> Callable:
+    """``make`` with its results kept for a worker's next tasks, until one of another operator begins."""
+    found = cache(make)
+    _emptied.append(found.cache_clear)
+    return found
+
+
+def begin(operator: str) -> None:
+    """Called where a task begins in a Python worker. What another operator has left there goes.
+
+    Workers serve one stage after the other, so else the caches of all of them add up.
+    """
+    if _running[0] != operator:
+        _running[0] = operator
+        for empty in _emptied:
+            empty()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.llm.common import small_batches
+from rootweave.llm.common import begin, small_batches
 from rootweave.llm.graph import components
 from rootweave.operators.skew import anti_join, semi_join, stage_keys
 from rootweave.workspace import Workspace
@@ -168,6 +168,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     """One row per document with its set's size, sketches and digest."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         shingles = Shingles(size)
         for batch in batches:
             n, sketches, wide, digest = [], [], [], []
@@ -193,6 +194,7 @@ def _tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
     for the tokens of the next class. They are derived from the texts when needed and never kept."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         shingles, classes = Shingles(size), SizeClasses.shared(percent)
         for batch in batches:
             ids, sides, tokens = [], [], []
@@ -212,6 +214,7 @@ def _hashes(docs: DataFrame, size: int) -> DataFrame:
     """(_id, hashes): the sets themselves."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         shingles = Shingles(size)
         for batch in batches:
             found = [shingles.of(text or "").view(np.int64) for text in batch.column(1).to_pylist()]

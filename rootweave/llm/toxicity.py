@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rootweave.llm.common import small_batches
+from rootweave.llm.common import begin, small_batches
 from rootweave.workspace import Workspace
 
 TRAIN_DOCS = 6_000
@@ -167,6 +167,7 @@ def _count_documents(sample: DataFrame, among: set[str] | None = None) -> DataFr
     shared = sample.sparkSession.sparkContext.broadcast(among)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         among = shared.value
         for batch in batches:
             toxic, other = Counter(), Counter()
@@ -204,6 +205,7 @@ def _window_rows(sample: DataFrame, level: dict[str, int]) -> tuple[list, float]
     shared = sample.sparkSession.sparkContext.broadcast(level)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         levels = _Levels(shared.value)
         for batch in batches:
             kept, labels, empty = [], [], 0
@@ -301,6 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, ws: Workspace, id_col: str = "doc_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def aggregates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         tagger = Tagger(shared.value)
         for batch in batches:
             found = [tagger.aggregate(text or "")[:2] for text in batch.column(0).to_pylist()]
@@ -324,6 +327,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", result_col: str
 
     @F.arrow_udf(RESULT)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("toxicity")
         tagger = Tagger(shared.value)
         kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([
             ("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())])))])

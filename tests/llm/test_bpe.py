@@ -70,3 +70,29 @@ def test_frames(spark, odd, empty, library):
 def test_checked_encoding_gives_the_same_ids(spark, odd):
     plain, checked = (bpe.encode(odd.select("doc_id", "text"), RANKS, P.PATTERN, check=c) for c in (False, True))
     assert sorted(map(str, checked.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_worker_that_goes_on_to_another_operator_gives_the_encoder_back(spark):
+    from pyspark.sql import functions as F
+
+    from rootweave.llm import common, jaccard
+
+    ranks = {bytes([i]): i for i in range(256)}
+    content = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items())
+    common.begin("bpe")
+    bpe._encoder(content, P.PATTERN).encode("some text")
+    bpe._decoder(content)
+    common.begin("bpe")
+    assert bpe._encoder.cache_info().currsize == bpe._decoder.cache_info().currsize == 1
+    common.begin("toxicity")
+    assert bpe._encoder.cache_info().currsize == bpe._decoder.cache_info().currsize == 0
+
+    # In the workers of Spark: one partition, so one worker serves both jobs.
+    docs = spark.range(3).select("id", F.lit("a b c d e f").alias("text")).coalesce(1)
+
+    @F.udf("long")
+    def left(_):
+        return bpe._encoder.cache_info().currsize
+
+    assert bpe.encode(docs, RANKS, P.PATTERN).agg(F.sum("n_tokens")).first()[0] > 0
+    assert jaccard._hashes(docs, 5).select(left("_id").alias("n")).agg(F.max("n")).first()[0] == 0
