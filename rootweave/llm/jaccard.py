@@ -12,19 +12,21 @@ rarest, so many that a partner must share one of them.
 Groups. Every set is compared with the one candidate it has most tokens in common with; links found
 so make groups of similar documents. The matrix holds which tokens occur in which group: the union
 of its members' tokens. A set that shares rare tokens with another group is bounded by the number of
-its tokens in that union; groups below what the threshold needs stay closed. A group is opened
-first at one member per query, linked groups are merged, and what is still apart is then opened
-whole: every pair that may qualify and is not connected yet is compared exactly. So no link between
-components is lost, while a group of thousands of near copies costs one comparison per member.
+its tokens in that union; groups below what the threshold needs stay closed. Groups grow by turns first: each set is
+compared with one set of another group, as long as that finds many links; each token offers two sets a turn, drawn
+anew, so a turn makes two rows a token and set at most. Then a group is opened
+at one member per query, linked groups are merged, and what is still apart is opened
+whole: every pair that may qualify and is not connected yet is compared exactly. Sets alone ask groups, not the other way
+round, and are not met a second time by other sets alone: these were all compared. So no link between
+components is lost, while a group of thousands of near copies costs a few comparisons per member.
 
 Sketches. Thousands of variants of one text that are alike, but not alike enough to link, share
-tokens and stay apart. Each set has a parity sketch: every element flips one of ``BITS`` bits. Two
-sketches differ in at most as many bits as their sets in elements, so a pair whose sketches differ in
-more than a link allows is dropped inside the join on the token, and no row is made of it. For sets of a
-thousand elements this sketch is full and drops nothing. So each set also has a wide one, of two bits or
-more per element; a wider sketch is folded to the width of the other by a parity of its halves. Pairs
-that met under a token are compared by it before groups are bounded and before any set is moved: it has
-a thirtieth of a set's bytes. Neither sketch ever loses a link.
+tokens and stay apart. Each set has a parity sketch of two bits or more per element: every element flips one bit. Two
+sketches differ in at most as many bits as their sets in elements; a wider sketch is folded to the width of the other
+by a parity of its halves. Into the join on the token goes a sketch that is folded as far as ``DENSE`` bits per element
+and ``MOST_BITS`` bits allow, and a pair whose sketches differ in more than a link allows is dropped inside the join: no
+row is made of it. Pairs that met under a token are compared by the wide sketch before groups are bounded and before any
+set is moved: it has a thirtieth of a set's bytes. Neither sketch ever loses a link.
 
 Scale: all steps are joins and aggregations by token, document or group; token lists are bounded by
 the size of one text. Very frequent tokens are summarised per group before anything is joined to
@@ -53,8 +55,12 @@ from rootweave.workspace import Workspace
 
 MEMO = 200_000
 GROWTH = 1.5  # of the size classes
-BITS = 512  # of a sketch
+BITS = 512  # of a sketch, at least
+MOST_BITS = 2_048  # of a sketch that goes along with tokens
+DENSE = 0.6  # bits per element that such a sketch has at least, unless that is more than the most
 PART = 1_000
+YIELD = 100  # turns go on while they find a link for one in so many sets,
+LEAST = 100  # and at least so many links: what fewer would spare costs less than a turn
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -143,12 +149,6 @@ class SizeClasses:
         return found
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """The parity of the number of elements behind each of ``BITS`` bits, as 64-bit numbers."""
-    bits = (_mix(hashes + np.uint64(0xD6E8FEB86659FD93)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
-
-
 def wide_sketch(hashes: np.ndarray) -> bytes:
     """A parity sketch whose width grows with the set: the power of two from twice its size on, at least ``BITS``."""
     width = max(BITS, 1 << (2 * len(hashes) - 1).bit_length())
@@ -164,6 +164,14 @@ def least_apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def sketch(wide: bytes, n: int) -> np.ndarray:
+    """What of the wide sketch of a set of ``n`` elements goes along with tokens, as 64-bit numbers."""
+    words = np.frombuffer(wide, np.int64)
+    while 64 * len(words) > MOST_BITS or 32 * len(words) >= max(BITS, DENSE * n):
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     """One row per document with its set's size, sketches and digest."""
 
@@ -175,8 +183,8 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 hashes = shingles.of(text or "")
                 n.append(len(hashes))
-                sketches.append(sketch(hashes))
                 wide.append(wide_sketch(hashes))
+                sketches.append(sketch(wide[-1], len(hashes)))
                 digest.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -230,22 +238,38 @@ def _similar(percent: int) -> Column:
 
 def _close(percent: int) -> Column:
     """Whether sizes and sketches of ``x`` and ``y`` allow a link."""
-    n, m = F.col("x.n"), F.col("y.n")
-    bits = sum((F.bit_count(F.col("x.sketch")[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(BITS // 64)), F.lit(0))
-    near = (100 + percent) * bits <= (100 - percent) * (n + m)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & near
+    n, m, a, b = F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch")
+    width = F.least(F.size(a), F.size(b))
+    narrow = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)), F.lit(0))
+    apart = F.zip_with(_folded(a, width), _folded(b, width), lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+    bits = F.when(F.greatest(F.size(a), F.size(b)) == BITS // 64, narrow).otherwise(F.aggregate(apart, F.lit(0), lambda total, v: total + v))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * bits <= (100 - percent) * (n + m))
+
+
+def _folded(words: Column, width: Column) -> Column:
+    """A sketch that goes along with tokens, at ``width`` words: all of its own, half or a quarter of them."""
+
+    def both(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda v, w: v.bitwiseXOR(w))
+
+    part = [F.slice(words, i * width + 1, width) for i in range(4)]
+    halves, quarters = both(part[0], part[1]), both(both(part[0], part[1]), both(part[2], part[3]))
+    return F.when(F.size(words) > 2 * width, quarters).when(F.size(words) > width, halves).otherwise(words)
 
 
-def _meet(asked: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+def _meet(asked: DataFrame, held: DataFrame, whole: bool, percent: int) -> DataFrame:
     """(_id, other, b), once per token: sets of ``asked`` with members ``b`` of groups ``other`` in ``held`` that they may link with.
 
-    A link between two groups is looked for from the group with the larger name.
+    A link between two groups is looked for from the group with the larger name, but a set ``alone`` asks the larger groups.
+    When groups are opened ``whole``, two sets that are alone have met before.
     """
     parts = F.ceil(F.col("sets") / PART).cast("int")
     x = asked.withColumn("part", F.pmod(F.xxhash64("_id"), parts).cast("int")).alias("x")
     y = held.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("y")
-    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("y.g") < F.col("x.g"))
-    return x.join(y, same & _close(percent)).select("x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
+    same, larger = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")), F.col("y.g") < F.col("x.g")
+    alone = F.col("x.alone") & F.col("y.alone")
+    asks = larger & ~alone if whole else F.when(F.col("x.alone") == F.col("y.alone"), larger).otherwise(F.col("x.alone"))
+    return x.join(y, same & asks & _close(percent)).select("x._id", F.col("y.g").alias("other"), F.col("y._id").alias("b"))
 
 
 def _near(pairs: DataFrame, drawn: DataFrame, a: str, b: str, percent: int) -> DataFrame:
@@ -296,6 +320,27 @@ def _rare(tokens: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     return shared, ws.stage(rare, "rare")
 
 
+def _placed(rare: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rare tokens with the group ``g`` of their set, and whether it is ``alone`` there."""
+    placed = rare.join(roots.withColumnRenamed("v", "_id"), "_id", "left")
+    return placed.withColumns({"g": F.coalesce("root", "_id"), "alone": F.col("root").isNull()}).drop("root")
+
+
+def _offered(placed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each set with a set of another group, of those two of different groups that each of its tokens offers in this turn."""
+    drawn = F.struct(F.xxhash64(F.lit(turn), "g").alias("h"), "g", F.xxhash64(F.lit(turn), "_id").alias("i"), "_id")
+    ends = placed.groupBy("token").agg(F.min(drawn).alias("low"), F.max(drawn).alias("high")).filter("low.g <> high.g")
+    offers = ends.select("token", F.explode(F.array("low", "high")).alias("end")).select("token", F.col("end.g").alias("other"), F.col("end._id").alias("b"))
+    return _best(placed.join(offers, "token").filter("g <> other"))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """(a, b): of the candidates of each set, one row per common token, the one with most."""
+    return pairs.groupBy("_id", "b").count().groupBy("_id").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b")).select(
+        F.col("_id").alias("a"), "b"
+    )
+
+
 def jaccard_components(
     docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -319,21 +364,28 @@ def jaccard_components(
 
     # Groups: each set with the candidate it shares most rare tokens with, if sizes and sketches allow a link.
     heads = rare.groupBy("token").agg(F.min("_id").alias("b"))
-    nearest = rare.join(heads, "token").filter("_id <> b").groupBy("_id", "b").count().groupBy("_id").agg(
-        F.max_by("b", F.struct("count", -F.col("b"))).alias("b")
-    ).select(F.col("_id").alias("a"), "b")
-    links = ws.stage(_linked(_near(nearest, drawn, "a", "b", percent), plain, size, percent, ws), "links")
+    nearest = _best(rare.join(heads, "token").filter("_id <> b"))
+    links, seen = ws.stage_counted(_linked(_near(nearest, drawn, "a", "b", percent), plain, size, percent, ws), "links")
+
+    turn = 0
+    while seen["rows"] >= LEAST and YIELD * seen["rows"] > ids.rows:
+        turn += 1
+        offered = _offered(_placed(rare, components(links, ws)), turn)
+        found, seen = ws.stage_counted(_linked(_near(offered, drawn, "a", "b", percent), plain, size, percent, ws), "found")
+        links = links.unionByName(found)
+        ws.release()
 
     for whole in (False, True):
         roots = components(links, ws)
-        placed = rare.join(roots.withColumnRenamed("v", "_id"), "_id", "left").withColumn("g", F.coalesce("root", "_id")).drop("root")
-        several = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
+        placed = _placed(rare, roots)
+        several = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.every("alone").alias("alone"))
+        several = several.filter("low < high AND NOT alone" if whole else "low < high").select("token")
         grouped = ws.stage(placed.join(several, "token", "left_semi").join(drawn.drop("wide"), "_id"), "grouped")
         # One member stands for its group under each token; the second time all do.
-        held = grouped if whole else grouped.groupBy("token", "g").agg(
-            F.min_by(F.struct("_id", "sets", "n", "sketch"), "_id").alias("head")
-        ).select("token", "g", "head.*")
-        met = _meet(grouped, held, percent).groupBy("_id", "other", "b").count()
+        held = grouped if whole else grouped.filter("alone").unionByName(grouped.filter("NOT alone").groupBy("token", "g").agg(
+            F.min_by(F.struct("_id", "alone", "sets", "n", "sketch"), "_id").alias("head")
+        ).select("token", "g", "head.*"))
+        met = _meet(grouped, held, whole, percent).groupBy("_id", "other", "b").count()
         met = ws.stage(_near(met, drawn, "_id", "b", percent), "met")
         bound = _qualify(met.select("_id", "other").distinct(), shared, roots)
         opened = met.join(bound, ["_id", "other"], "left_semi")

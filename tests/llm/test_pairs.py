@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rootweave.llm import embeddings, jaccard
 
@@ -56,6 +57,77 @@ def test_jaccard_components(spark, ws, size, percent):
     assert {i: r["n_shingles"] for i, r in found.items()} == {i: len(s) for i, s in sets.items()}
 
 
+def met_rows(monkeypatch):
+    """How many rows each join on the token makes, as a list that fills."""
+    counts, meet = [], jaccard._meet
+
+    def counted(*args):
+        rows = meet(*args)
+        counts.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(jaccard, "_meet", counted)
+    return counts
+
+
+def variants(rng, number, length, changed):
+    base = [f"b{k}" for k in range(length)]
+    texts = []
+    for _ in range(number):
+        copy = list(base)
+        for at in rng.sample(range(length), changed):
+            copy[at] = f"v{rng.randrange(10**9)}"
+        texts.append(copy)
+    return texts
+
+
+def test_variants_that_do_not_link_make_no_rows_under_a_token(spark, ws, monkeypatch):
+    """Texts of a thousand words, alike by a half to two thirds: their tokens meet, and sketches of 512 bits are full."""
+    texts = variants(random.Random(3), 24, 1_000, 30)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    counts = met_rows(monkeypatch)
+    rows = jaccard.jaccard_components(docs, ws).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in rows)
+    assert len(counts) == 2 and sum(counts) == 0
+
+
+def test_a_turn_offers_each_set_one_set_of_another_group(spark):
+    rows = [(i, token, i % 40 if i < 80 else i, i >= 80) for i in range(120) for token in (1, 2, 3)] + [(500, 9, 500, True)]
+    placed = spark.createDataFrame(rows, "_id long, token long, g long, alone boolean")
+    group = {i: g for i, _, g, _ in rows}
+    turns = [{r["a"]: r["b"] for r in jaccard._offered(placed, turn).collect()} for turn in (1, 2)]
+    for offers in turns:
+        assert offers.keys() == set(range(120)) and all(group[a] != group[b] for a, b in offers.items())
+        assert len(set(offers.values())) <= 2  # of each token the same two
+    assert turns[0] != turns[1]
+
+
+def test_sets_alone_ask_groups_and_meet_each_other_once(spark):
+    rows = [(i, 1, 0 if i < 5 else i, i >= 5, 9, 10, [0] * 8) for i in range(9)]
+    placed = spark.createDataFrame(rows, "_id long, token long, g long, alone boolean, sets long, n long, sketch array<long>")
+    held = placed.filter("alone OR _id = 0")
+    first = {tuple(r) for r in jaccard._meet(placed, held, False, 80).collect()}
+    assert first == {(a, b, b) for a in range(5, 9) for b in range(5, a)} | {(a, 0, 0) for a in range(5, 9)}
+    again = {tuple(r) for r in jaccard._meet(placed, placed, True, 80).collect()}
+    assert again == {(a, 0, b) for a in range(5, 9) for b in range(5)}
+
+
+def test_sketches_of_other_widths_are_folded(spark):
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 1 << 63, 2_500, dtype=np.uint64))
+    for n in (100, 800, 900, 1_300, 2_500):
+        part = base[:n]
+        words = jaccard.sketch(jaccard.wide_sketch(part), n)
+        assert jaccard.BITS <= 64 * len(words) <= jaccard.MOST_BITS
+        for m in (100, 700, 2_400):
+            other = base[:m]
+            rows = [(n, words.tolist(), m, jaccard.sketch(jaccard.wide_sketch(other), m).tolist())]
+            row = spark.createDataFrame(rows, "n long, sketch array<long>, m long, other array<long>")
+            x, y = row.select("n", "sketch").alias("x"), row.select(F.col("m").alias("n"), F.col("other").alias("sketch")).alias("y")
+            least = 100 * min(n, m) // max(n, m)  # the sets link at this percentage and no sketch may deny it
+            assert x.join(y, jaccard._close(least)).count() == 1
+
+
 def test_jaccard_odd_rows(spark, odd, empty, ws):
     rows = jaccard.jaccard_components(odd, ws).collect()
     assert len(rows) == odd.count()
