@@ -2,23 +2,29 @@
 
 Components become whole numbers, floor(``scale`` * x), so that scores are exact.
 
-Index. Vectors of one dimension are dealt to blocks by a hash of their id. In a block each component
-is quantised to its highest ``bits`` bits above the block's minimum, and stored as that many bitmaps
-over the rows (slices), beside the exact numbers and the norm of the largest rounding error.
+Index. Vectors of one dimension are dealt to lanes by a hash of their id, and each lane is cut into
+blocks. In a block each component is quantised to its highest ``bits`` bits above the block's minimum,
+and kept as that many bitmaps over the rows (slices), beside the exact numbers and the norm of the
+largest rounding error.
 
 Search. A query's component is written in signed binary digits; each digit adds the slices of that
 component, shifted, or their complements where the digit is negative. Bitmaps of one place value are
 added three to two at a time (a full adder in bitmap arithmetic), which leaves one bitmap per bit of
-the sum: the approximate scores of all rows of the block, up to a constant. From the most significant
-slice downward, counts of bits narrow to the k-th largest sum; a second descent marks the rows whose sum
-is not below it by more than twice the error bound (query norm times the norm of the rounding error).
-No other row can be among the best k, and ties of the k-th are never below. The marked rows are scored
-exactly, and the best k of all blocks are ranked.
-
-Scale: blocks and chunks of queries are bounded in bytes and meet in tiles, one row each, dealt evenly;
-per tile and query k rows go on, and ranks are cut before and after the last shuffle. The work is the
-number of queries times the number of rows, a few word operations per 64 rows and slice, as the
-question asks for; nothing depends on how many rows are alike.
+the sum: the approximate scores of all rows of the block, up to a constant. In a lane's first block
+counts of bits narrow, from the most significant slice downward, to the k-th largest sum; a second
+descent marks the rows whose sum is not below it by more than twice the error bound (query norm times
+the norm of the rounding error). Later blocks mark the rows whose sum can reach the k-th best score
+found so far, which takes the error bound once. No other row can be among the best k, and ties of the
+k-th are always marked. The marked rows are scored exactly, and the best k of all lanes are ranked.
+
+Scale: a lane meets a chunk of queries in a tile. Vectors travel as single rows, sorted so that the
+queries of a tile come first; a task then holds one chunk of queries with their best rows and one block,
+both bounded in bytes, while the blocks of the lane pass by. No row that Spark handles is longer than a
+vector, and no index is copied. With T tiles the vectors are sent once for each chunk and the queries
+once for each lane; their numbers are chosen so that this grows with the root of T. Per lane and query k
+rows go on, and ranks are cut before and after the last shuffle. The work is the number of queries times
+the number of rows, a few word operations per 64 rows and slice, as the question asks for; nothing
+depends on how many rows are alike.
 
 Defined cases: vectors that are null or empty, hold null or non-finite components or components of
 ``LIMIT`` or more after scaling, and rows without id take no part; of rows that share an id the smallest
@@ -28,8 +34,9 @@ candidates all are returned; a query is not its own candidate; other columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +47,11 @@ from rootweave.llm.common import arrow_batches
 from rootweave.workspace import PARTITIONS_SETTING, Workspace
 
 BITS = 6
-BLOCK_BYTES = 8 << 20  # of a block's components at four bytes, and of a chunk of queries
+BLOCK_BYTES = 8 << 20  # of a block's components at four bytes
+CHUNK_BYTES = 32 << 20  # of a chunk of queries and their best rows
 LEAST_CHUNK = 32  # queries that are worth a tile of their own
+TILES_PER_CORE = 4
+OUT_ROWS = 100_000  # in a batch of results
 LIMIT = 1 << 26
 DIGITS = 28  # binary digits of a component, and one for the carry
 
@@ -57,71 +67,33 @@ def _numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Da
     return taken.groupBy("_id").agg(F.min("x").alias("x")).select(F.size("x").alias("dim"), "_id", "x")
 
 
-def _parts(count: str, least: int | None = None, width: int = 1) -> Column:
-    """Into how many blocks ``count`` vectors of ``dim`` components go; with ``least``, up to ``width`` if these are not smaller."""
-    by_size = F.ceil(F.col(count) * F.col("dim") * 4 / BLOCK_BYTES)
-    if least is not None:
-        by_size = F.greatest(by_size, F.least(F.ceil(F.col(count) / least), F.lit(width)))
-    return F.greatest(by_size, F.lit(1)).cast("int")
-
-
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, components) of a group, by id."""
-    ids = table["_id"].to_numpy()
-    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-    order = np.argsort(ids)
-    return ids[order], x[order]
-
-
-def _stored(x: np.ndarray) -> tuple[int, bytes]:
-    kind = np.int16 if np.abs(x).max(initial=0) < 1 << 15 else np.int32
-    return np.dtype(kind).itemsize, np.ascontiguousarray(x, kind).tobytes()
-
-
-def _loaded(width: int, content: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(content, np.int16 if width == 2 else np.int32).reshape(-1, dim)
-
-
-def _slice(bits: int):
-    def build(key: tuple, table: pa.Table) -> pa.Table:
-        """A block: the slices of its rows, and what is needed to bound and to resolve."""
-        ids, x = _matrix(table)
-        low = x.min(axis=0)
-        above = x - low
-        size = int(above.max()).bit_length()
-        shift, depth = max(0, size - bits), min(size, bits)
-        high = above >> shift
-        rest = (above - (high << shift)) - ((1 << shift) - 1) / 2
-        words = -(-len(ids) // 64)
-        slices = np.zeros((x.shape[1], depth, words * 8), np.uint8)
-        for i in range(depth):
-            packed = np.packbits(((high >> i) & 1).astype(np.uint8), axis=0, bitorder="little")
-            slices[:, i, : len(packed)] = packed.T
-        width, values = _stored(x)
-        return pa.table({
-            "dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "ids": [ids.tobytes()],
-            "width": pa.array([width], pa.int32()), "x": [values], "shift": pa.array([shift], pa.int32()), "depth": pa.array([depth], pa.int32()),
-            "error": [float(np.sqrt((rest * rest).sum(axis=1).max()))], "slices": [slices.tobytes()],
-        })
-
-    return build
-
-
-def build_index(numbers: DataFrame, ws: Workspace, bits: int = BITS) -> DataFrame:
-    """The bit-sliced index of ``numbers(dim, _id, x, blocks)``, one row per block."""
-    placed = numbers.withColumn("block", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int")).select("dim", "block", "_id", "x")
-    return ws.stage(placed.groupBy("dim", "block").applyInArrow(
-        _slice(bits), "dim int, block int, ids binary, width int, x binary, shift int, depth int, error double, slices binary"
-    ), "index")
-
-
-def _chunk(key: tuple, table: pa.Table) -> pa.Table:
-    ids, x = _matrix(table)
-    width, values = _stored(x)
-    return pa.table({
-        "dim": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()), "asking": [ids.tobytes()],
-        "asking_width": pa.array([width], pa.int32()), "asked": [values],
-    })
+def _layout(sizes: DataFrame, k: int, tiles: int) -> DataFrame:
+    """(dim, lanes, chunks) from ``sizes(dim, n, queries)``: some ``tiles`` a dimension, or more where chunks would be too large."""
+    vector, n, queries = F.col("dim") * 4, F.col("n"), F.col("queries")
+    by_size = F.ceil(queries * (vector + 16 * k) / CHUNK_BYTES)
+    # The vectors are sent ``chunks`` times; the queries ``lanes`` times, and as often k rows of three numbers come back and are ranked.
+    even = F.round(F.sqrt(tiles * queries * (vector + 48 * k) / (n * vector)))
+    chunks = F.greatest(by_size, even, F.lit(1))
+    lanes = F.greatest(F.least(F.ceil(n * vector / BLOCK_BYTES), F.ceil(tiles / chunks)), F.lit(1))
+    spread = F.least(F.ceil(queries / LEAST_CHUNK), F.round(tiles / lanes))
+    return sizes.select("dim", lanes.cast("int").alias("lanes"), F.greatest(chunks, spread).cast("int").alias("chunks"))
+
+
+def _tiles(numbers: DataFrame, layout: DataFrame, asked: Column) -> DataFrame:
+    """(dim, lane, chunk, asking, _id, x): each tile in one partition and in order, its queries (``asking``) before its vectors."""
+    parts = layout.agg(F.max(F.col("lanes") * F.col("chunks"))).first()[0] or 1
+    layout = F.broadcast(layout)
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    dealt = lambda count, *seed: F.pmod(F.xxhash64("_id", *seed), F.col(count)).cast("int")
+    numbers = numbers.join(layout, "dim")
+    held = numbers.withColumn("lane", dealt("lanes")).withColumn("chunk", each("chunks")).withColumn("asking", F.lit(False))
+    queries = numbers.filter(asked).withColumn("lane", each("lanes")).withColumn("chunk", dealt("chunks", F.lit(1))).withColumn("asking", F.lit(True))
+    # Tiles of one dimension have partitions of their own.
+    part = F.pmod(F.hash("dim").cast("long") + F.col("lane") * F.col("chunks") + F.col("chunk"), F.lit(parts)).cast("int")
+    return (
+        held.unionByName(queries).withColumn("part", part).repartitionById(parts, "part")
+        .sortWithinPartitions("dim", "lane", "chunk", F.desc("asking")).select("dim", "lane", "chunk", "asking", "_id", "x")
+    )
 
 
 def signed_digits(x: np.ndarray) -> np.ndarray:
@@ -186,19 +158,32 @@ def at_least(total: list[np.ndarray], rows: np.ndarray, limit: int) -> np.ndarra
 
 
 class Block:
-    """One block of the index, ready for queries."""
+    """One block of the index: the slices of its rows, and what is needed to bound and to resolve."""
 
-    def __init__(self, dim: int, ids: bytes, width: int, x: bytes, shift: int, depth: int, error: float, slices: bytes):
-        self.ids, self.x = np.frombuffer(ids, np.int64), _loaded(width, x, dim)
-        self.shift, self.depth, self.error = shift, depth, error
-        self.words = -(-len(self.ids) // 64)
-        bitmaps = np.frombuffer(slices, np.uint64).reshape(dim * depth, self.words)
+    def __init__(self, ids: np.ndarray, x: np.ndarray, bits: int):
+        self.ids, self.x = ids, x
+        self.low = x.min(axis=0).astype(np.int64)
+        above = x - x.min(axis=0)
+        size = int(above.max()).bit_length()
+        self.shift, self.depth = max(0, size - bits), min(size, bits)
+        self.middle = ((1 << self.shift) - 1) / 2
+        # The largest norm of what the slices leave out, in parts: these numbers take eight bytes.
+        rests = ((above[i : i + 4096] & (1 << self.shift) - 1) - self.middle for i in range(0, len(x), 4096))
+        self.error = max(float(np.sqrt((rest * rest).sum(axis=1).max())) for rest in rests)
+        above >>= self.shift
+        self.words = -(-len(ids) // 64)
+        slices = np.zeros((x.shape[1], self.depth, self.words * 8), np.uint8)
+        for i in range(self.depth):
+            packed = np.packbits((above >> i & 1).astype(np.uint8), axis=0, bitorder="little")
+            slices[:, i, : len(packed)] = packed.T
+        bitmaps = slices.view(np.uint64).reshape(-1, self.words)
         self.bitmaps = np.concatenate([bitmaps, ~bitmaps])
         rows = np.zeros(self.words * 64, np.uint8)
-        rows[: len(self.ids)] = 1
+        rows[: len(ids)] = 1
         self.rows = np.packbits(rows, bitorder="little").view(np.uint64)
 
-    def sums(self, query: np.ndarray) -> list[np.ndarray]:
+    def sums(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
+        """The sums of the query's components times the quantised ones, as bitmaps, and what these are too large by."""
         component, digit = np.nonzero(digits := signed_digits(query))
         negative = digits[component, digit] < 0
         chosen = component * self.depth + negative * (len(query) * self.depth)
@@ -206,15 +191,20 @@ class Block:
         for j in np.unique(digit):
             for i in range(self.depth):
                 places.setdefault(int(j) + i, []).append(chosen[digit == j] + i)
-        return add_bitmaps({place: self.bitmaps[np.concatenate(found)] for place, found in places.items()}, self.words)
+        total = add_bitmaps({place: self.bitmaps[np.concatenate(found)] for place, found in places.items()}, self.words)
+        return total, int((1 << digit[negative]).sum()) * ((1 << self.depth) - 1)
 
-    def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best ``k`` rows for the query, not counting the row with its ``own`` id."""
+    def best(self, own: int, query: np.ndarray, k: int, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the best ``k`` rows for the query, not counting the row with its ``own`` id; none below ``least`` is needed."""
         query = query.astype(np.int64)
         if len(self.ids) > k + 1:
-            total = self.sums(query)
-            reach = 2 * self.error * float(np.sqrt((query * query).sum())) / (1 << self.shift)
-            limit = kth_sum(total, self.rows, k + 1) - int(reach * (1 + 1e-9)) - 1
+            total, excess = self.sums(query)
+            reach = self.error * float(np.sqrt((query * query).sum())) / (1 << self.shift) * (1 + 1e-9)
+            if least is None:
+                limit = kth_sum(total, self.rows, k + 1) - int(2 * reach) - 1
+            else:
+                known = int(query @ self.low) + self.middle * int(query.sum())  # of every row's score
+                limit = excess + math.floor((least - known) / (1 << self.shift) - reach) - 1
             marked = at_least(total, self.rows, limit)
             (at,) = np.nonzero(np.unpackbits(marked.view(np.uint8), bitorder="little"))
         else:
@@ -225,20 +215,84 @@ class Block:
         return self.ids[at[first]], scores[first]
 
 
-def _answers(k: int):
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in chain.from_iterable(batch.to_pylist() for batch in batches):
-            block = Block(*(tile[c] for c in ("dim", "ids", "width", "x", "shift", "depth", "error", "slices")))
-            asking = np.frombuffer(tile["asking"], np.int64)
-            found = [block.best(own, query, k) for own, query in zip(asking, _loaded(tile["asking_width"], tile["asked"], tile["dim"]))]
+class Tile:
+    """The queries of a chunk, whose best rows are kept while the blocks of a lane pass by."""
+
+    def __init__(self, k: int, bits: int):
+        self.k, self.bits = k, bits
+        self.asked: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.rows = 0
+        self.count = np.zeros(0, np.int64)  # of each query's best rows so far; their ids and scores
+        self.ids = self.scores = np.zeros((0, k), np.int64)
+
+    def ask(self, ids: np.ndarray, x: np.ndarray) -> None:
+        self.asked.append((ids, x))
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        most = max(1, BLOCK_BYTES // (4 * x.shape[1])) if self.asked else 0
+        while most and len(ids):
+            taken = most - self.rows
+            self.waiting.append((ids[:taken], x[:taken]))
+            self.rows += len(ids[:taken])
+            ids, x = ids[taken:], x[taken:]
+            if self.rows == most:
+                self.search()
+
+    def search(self) -> None:
+        """The queries' best rows, with those of the block that has come together."""
+        if not self.rows:
+            return
+        block = Block(*(np.concatenate(part) for part in zip(*self.waiting)), self.bits)
+        self.waiting, self.rows = [], 0
+        if not len(self.count):
+            self.count = np.zeros(sum(len(ids) for ids, _ in self.asked), np.int64)
+            self.ids, self.scores = np.zeros((2, len(self.count), self.k), np.int64)
+        for i, (own, query) in enumerate((own, query) for asking, queries in self.asked for own, query in zip(asking.tolist(), queries)):
+            n = self.count[i]
+            ids, scores = block.best(own, query, self.k, int(self.scores[i, -1]) if n == self.k else None)
+            ids, scores = np.concatenate([self.ids[i, :n], ids]), np.concatenate([self.scores[i, :n], scores])
+            first = np.lexsort((ids, -scores))[: self.k]
+            self.count[i] = n = len(first)
+            self.ids[i, :n], self.scores[i, :n] = ids[first], scores[first]
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        self.search()
+        if not len(self.count):
+            return
+        queries, some = np.concatenate([ids for ids, _ in self.asked]), max(1, OUT_ROWS // self.k)
+        for i in range(0, len(queries), some):
+            count = self.count[i : i + some]
+            filled = np.arange(self.k) < count[:, None]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(asking, [len(ids) for ids, _ in found]), pa.int64()),
-                    pa.array(np.concatenate([ids for ids, _ in found]), pa.int64()), pa.array(np.concatenate([s for _, s in found]), pa.int64()),
+                    pa.array(np.repeat(queries[i : i + some], count), pa.int64()),
+                    pa.array(self.ids[i : i + some][filled], pa.int64()), pa.array(self.scores[i : i + some][filled], pa.int64()),
                 ],
                 names=["query_id", "vec_id", "score"],
             )
 
+
+def _answers(k: int, bits: int):
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, at = None, None
+        for batch in batches:
+            columns = [batch[c].to_numpy(zero_copy_only=False) for c in ("dim", "lane", "chunk", "asking")]
+            changes = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            for start, end in pairwise([0, *(np.nonzero(changes)[0] + 1).tolist(), batch.num_rows]):
+                if start == end:
+                    continue
+                *name, asking = (c[start].item() for c in columns)
+                if name != at:
+                    if tile:
+                        yield from tile.found()
+                    tile, at = Tile(k, bits), name
+                ids = batch["_id"][start:end].to_numpy()
+                x = batch["x"][start:end].flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                (tile.ask if asking else tile.add)(ids, x)
+        if tile:
+            yield from tile.found()
+
     return answer
 
 
@@ -251,22 +305,12 @@ def search(
     Higher scores come first, smaller ids first among equal scores.
     """
     spark = vectors.sparkSession
-    width = int(spark.conf.get(PARTITIONS_SETTING))
+    tiles = min(int(spark.conf.get(PARTITIONS_SETTING)), TILES_PER_CORE * spark.sparkContext.defaultParallelism)
     numbers = ws.stage(_numbers(vectors, id_col, vector_col, scale), "numbers")
     # One row for each length that vectors have: at most the root of twice the number of all components.
-    sizes = numbers.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.count_if(asked).alias("queries")).withColumn("blocks", _parts("n"))
-    sizes = F.broadcast(ws.stage(sizes.withColumn("chunks", _parts("queries", LEAST_CHUNK, width)).select("dim", "blocks", "chunks"), "sizes"))
-    numbers = numbers.join(sizes, "dim")
-    with arrow_batches(spark, rows=1):
-        index = build_index(numbers, ws, bits)
-        chunk = F.pmod(F.xxhash64("_id", F.lit(1)), F.col("chunks")).cast("int")
-        chunks = numbers.filter(asked).withColumn("chunk", chunk).groupBy("dim", "chunk").applyInArrow(
-            _chunk, "dim int, chunk int, asking binary, asking_width int, asked binary"
-        )
-        tile = ["dim", "block", "chunk"]
-        left = index.join(sizes, "dim").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("blocks", "chunks")
-        right = ws.stage(chunks, "chunks").join(sizes, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        tiles = left.repartition(width, *tile).join(right.drop("blocks", "chunks").repartition(width, *tile), tile)
-        found = ws.stage(tiles.mapInArrow(_answers(k), "query_id long, vec_id long, score long"), "found")
+    sizes = numbers.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.count_if(asked).alias("queries")).filter("queries > 0")
+    layout = ws.stage(_layout(sizes, k, tiles), "layout")
+    with arrow_batches(spark):
+        found = ws.stage(_tiles(numbers, layout, asked).mapInArrow(_answers(k, bits), "query_id long, vec_id long, score long"), "found")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

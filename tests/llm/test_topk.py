@@ -59,3 +59,55 @@ def test_bitmap_arithmetic():
     for limit in (0, 1, 17, int(expected.max()), 1 << 20):
         marked = np.unpackbits(topk.at_least(total, rows, limit).view(np.uint8), bitorder="little")
         assert (marked == ((expected >= limit) & (np.arange(192) < 150))).all()
+
+
+@pytest.mark.parametrize("block", [1 << 13, 8 << 20])
+def test_rows_on_their_way_are_vectors_whatever_the_size(spark, ws, monkeypatch, block):
+    """What Spark sorts and sends is as long as a vector, and not sent once for every 32 queries."""
+    monkeypatch.setattr(topk, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(5)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((2_000, 16)))], "vec_id long, embedding array<double>")
+
+    def sizes(*_):
+        def answer(batches):
+            for batch in batches:  # rows, bytes of one, bytes of all
+                yield topk.pa.RecordBatch.from_pydict({"query_id": [batch.num_rows], "vec_id": [batch.nbytes // max(1, batch.num_rows)], "score": [batch.nbytes]})
+
+        return answer
+
+    staged, stage = {}, ws.stage
+    monkeypatch.setattr(ws, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    monkeypatch.setattr(topk, "_answers", sizes)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        topk.search(frame, ws, F.col("_id") % 5 == 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    longest, total = staged["found"].agg(F.max("vec_id"), F.sum("score")).first()
+    assert longest < 200  # 16 components of four bytes, and some numbers
+    assert total < 2_000 * 200 * 16
+
+
+def test_lanes_blocks_and_chunks(spark, ws, monkeypatch):
+    """Several of each, cut anywhere, and two dimensions whose tiles meet in one partition."""
+    for name, value in (("BLOCK_BYTES", 1 << 12), ("CHUNK_BYTES", 1 << 12), ("OUT_ROWS", 50)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(i * 5, [float(x) for x in np.round(v, 1)]) for i, v in enumerate(rng.standard_normal((700, 4)))]  # many scores are equal
+    rows += [(10_000 + i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((150, 30)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = topk.search(frame, ws, F.col("_id") % 50 == 0, k=3)
+    assert {tuple(r) for r in found.collect()} == plain(rows, [i for i, _ in rows if i % 50 == 0], 3)
+
+
+def test_a_block_that_knows_the_scores_so_far():
+    rng = np.random.default_rng(7)
+    x = rng.integers(-3_000, 3_000, (500, 12)).astype(np.int32)
+    for bits in (1, 4, 14):
+        block = topk.Block(np.arange(500), x, bits)
+        for query in x[:20]:
+            scores = np.sort(x.astype(np.int64) @ query)
+            for rank in (1, 5, 40, 500):  # of ``least``: what reaches it is found, ties included
+                ids, found = block.best(-1, query, 500, int(scores[-rank]))
+                assert (found[:rank] == scores[-rank:][::-1]).all() and ((x[ids].astype(np.int64) @ query) == found).all()
