@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootweave.llm.common import begin, kept, small_batches
+from rootweave.llm.common import begin, end, kept, small_batches
 
 # Entries kept per Python worker before a cache starts anew; results do not depend on them.
 MEMO = 80_000
@@ -364,12 +364,16 @@ def encode(
         begin("bpe")
         encoder = _encoder(ranks.value, pattern)
         decoder = _decoder(ranks.value) if check else None
-        for batch in batches:
-            texts = [x.as_py() or "" for x in batch]
-            ids = [encoder.encode(text) for text in texts]
-            if decoder and any(decoder.decode(found) != text for found, text in zip(ids, texts)):
-                raise ValueError("a text differs after decoding")
-            yield pa.array(ids, pa.binary())
+        try:
+            for batch in batches:
+                texts = [x.as_py() or "" for x in batch]
+                ids = [encoder.encode(text) for text in texts]
+                if decoder and any(decoder.decode(found) != text for found, text in zip(ids, texts)):
+                    raise ValueError("a text differs after decoding")
+                yield pa.array(ids, pa.binary())
+        finally:
+            encoder = decoder = None
+            end()
 
     with_ids = docs.withColumn(ids_col, encoded.asNondeterministic()(F.col(text_col)))
     return with_ids.withColumn(count_col, (F.octet_length(ids_col) / 4).cast("long"))
@@ -385,7 +389,11 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", text_col:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         begin("bpe")
         decoder = _decoder(ranks.value)
-        for batch in batches:
-            yield pa.array([decoder.decode(x.as_py() or b"") for x in batch], pa.string())
+        try:
+            for batch in batches:
+                yield pa.array([decoder.decode(x.as_py() or b"") for x in batch], pa.string())
+        finally:
+            decoder = None
+            end()
 
     return encoded.withColumn(text_col, decoded.asNondeterministic()(F.col(ids_col)))

@@ -50,7 +50,7 @@ _running = [""]
 
 
 def kept(make: Callable) -> Callable:
-    """``make`` with its results kept for a worker's next tasks, until one of another operator begins."""
+    """``make`` with its results kept in a worker until its task ends, or one of another operator begins."""
     found = cache(make)
     _emptied.append(found.cache_clear)
     return found
@@ -63,10 +63,23 @@ def begin(operator: str) -> None:
     """
     if _running[0] != operator:
         _running[0] = operator
-        for empty in _emptied:
-            empty()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _empty()
+
+
+def end() -> None:
+    """Called where the task of an operator ends that keeps something.
+
+    A worker waits for its next task with all it holds, and that task may be one that does not call :func:`begin`.
+    """
+    _running[0] = ""
+    _empty()
+
+
+def _empty() -> None:
+    for empty in _emptied:
+        empty()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
